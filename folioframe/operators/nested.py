@@ -77,13 +77,18 @@ def flatten_sections(df: DataFrame, *, key: str = "section_id", order: str | Non
     row's parent is the row of the same record whose places agree up to its own
     level. Rows of a kind come from one scan and one ``inline``.
     """
-    df = df.select(key, *([order] if order and order in df.columns else []), "elements")
+    return flat_tables(section_elements(df, key=key, order=order), fields=fields)
+
+
+def section_elements(df: DataFrame, *, key: str = "section_id", order: str | None = "loaded_at") -> DataFrame:
+    """(record_id, elements), one row for each section."""
     order = order if order in df.columns else None
-    one = _one_per_key(df, key, order).select("record_id", F.col("payload.elements").alias("elements"))
-    return _tables(one, fields)
+    df = df.select(key, *([order] if order else []), "elements")
+    return _one_per_key(df, key, order).select("record_id", F.col("payload.elements").alias("elements"))
 
 
-def _tables(one: DataFrame, fields: bool) -> dict[str, DataFrame]:
+def flat_tables(one: DataFrame, *, fields: bool = True) -> dict[str, DataFrame]:
+    """The six flat tables of (record_id, elements)."""
     names = _names(one)
     return {kind: one.selectExpr("record_id", f"inline({_child_sql(kind, fields, names)})") for kind in KINDS}
 
@@ -145,4 +150,4 @@ def parse_payloads(df: DataFrame, *, key: str = "checkpoint_id", kind: str = "cp
 
 def flatten_payloads(df: DataFrame, *, fields: bool = True, **columns) -> dict[str, DataFrame]:
     """The six flat tables of checkpoint records with JSON text, as :func:`flatten_sections` has them."""
-    return _tables(parse_payloads(df, **columns), fields)
+    return flat_tables(parse_payloads(df, **columns), fields=fields)
