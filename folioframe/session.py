@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,7 +27,24 @@ def local_session(cores: int = 8, name: str = "folioframe") -> SparkSession:
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once for each application."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        _shipped.add(context.applicationId)
+        here = Path(__file__).resolve().parent
+        where = Path(tempfile.mkdtemp(prefix="folioframe-code-")) / "folioframe.zip"
+        with zipfile.ZipFile(where, "w") as z:
+            for p in sorted(here.rglob("*.py")):
+                z.write(p, Path("folioframe") / p.relative_to(here))
+        context.addPyFile(str(where))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
