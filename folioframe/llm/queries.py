@@ -4,10 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioframe.llm import bpe_encode, leakage, residue
+from folioframe.llm import bpe_encode, leakage, mojibake, residue
 from folioframe.session import table
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return mojibake.garbled_fields(table(spark, d, "partial_elements"))
+
+
+def p1_restored(spark: SparkSession, d: str) -> DataFrame:
+    """The original wording of every garbled value, null where it can't be recovered."""
+    return mojibake.repair(table(spark, d, "partial_elements")).distinct()
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return bpe_encode.encode_texts(table(spark, d, "documents"))
 
@@ -29,7 +38,7 @@ def p9_clean_corpus(spark: SparkSession, d: str) -> DataFrame:
     return residue.without_residue(docs, residue.find_residue(docs)).select("doc_id", "source", "doc_kind")
 
 
-QUERIES = {f.__name__: f for f in (p7_ids, p8_found, p8_leaked_items, p9_found, p9_clean_corpus)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p7_ids, p8_found, p8_leaked_items, p9_found, p9_clean_corpus)}
 
 _P8 = """
 with w as (select item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') as ws from eval_items),
