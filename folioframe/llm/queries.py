@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioframe.llm import bpe_encode, leakage, mojibake, residue
+from folioframe.llm import bpe_encode, leakage, lookalike, mojibake, residue
 from folioframe.session import table
 
 
@@ -17,6 +17,24 @@ def p1_restored(spark: SparkSession, d: str) -> DataFrame:
     return mojibake.repair(table(spark, d, "partial_elements")).distinct()
 
 
+def _canonical(spark: SparkSession, d: str) -> DataFrame:
+    elements, sections = table(spark, d, "partial_elements"), table(spark, d, "partial_sections")
+    fitted = mojibake.learn(elements, columns=["label"])
+    a = lookalike.normalize_fields(elements, {"label": False, "code": True}, keys=["element_id"], source="source", fitted=fitted)
+    b = lookalike.normalize_fields(sections, {"label": False}, keys=["section_id"], model=fitted[0])
+    name = lambda df, t, key: df.selectExpr(f"'{t}' as source_table", f"{key} as record_id", "field_name", "original", "canonical")
+    return name(a, "partial_elements", "element_id").unionByName(name(b, "partial_sections", "section_id")).distinct()
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return _canonical(spark, d).select("source_table", "record_id", "field_name").distinct()
+
+
+def p6_canonical(spark: SparkSession, d: str) -> DataFrame:
+    """The canonical form of every value that wasn't in it."""
+    return _canonical(spark, d)
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return bpe_encode.encode_texts(table(spark, d, "documents"))
 
@@ -38,7 +56,7 @@ def p9_clean_corpus(spark: SparkSession, d: str) -> DataFrame:
     return residue.without_residue(docs, residue.find_residue(docs)).select("doc_id", "source", "doc_kind")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p7_ids, p8_found, p8_leaked_items, p9_found, p9_clean_corpus)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p6_found, p6_canonical, p7_ids, p8_found, p8_leaked_items, p9_found, p9_clean_corpus)}
 
 _P8 = """
 with w as (select item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') as ws from eval_items),
