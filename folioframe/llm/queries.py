@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioframe.llm import bpe_encode, leakage, lookalike, mojibake, residue
+from folioframe.llm import bpe_encode, leakage, lookalike, mojibake, near_duplicates, residue
 from folioframe.session import table
 
 
@@ -17,6 +17,16 @@ def p1_restored(spark: SparkSession, d: str) -> DataFrame:
     return mojibake.repair(table(spark, d, "partial_elements")).distinct()
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    members, links = near_duplicates.similar_records(table(spark, d, "partial_elements"))
+    return near_duplicates.record_pairs(members, links)
+
+
+def p2_groups(spark: SparkSession, d: str) -> DataFrame:
+    members, links = near_duplicates.similar_records(table(spark, d, "partial_elements"))
+    return near_duplicates.groups(members, links)
+
+
 def _canonical(spark: SparkSession, d: str) -> DataFrame:
     elements, sections = table(spark, d, "partial_elements"), table(spark, d, "partial_sections")
     fitted = mojibake.learn(elements, columns=["label"])
@@ -56,7 +66,7 @@ def p9_clean_corpus(spark: SparkSession, d: str) -> DataFrame:
     return residue.without_residue(docs, residue.find_residue(docs)).select("doc_id", "source", "doc_kind")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p6_found, p6_canonical, p7_ids, p8_found, p8_leaked_items, p9_found, p9_clean_corpus)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_groups, p6_found, p6_canonical, p7_ids, p8_found, p8_leaked_items, p9_found, p9_clean_corpus)}
 
 _P8 = """
 with w as (select item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') as ws from eval_items),
@@ -66,4 +76,14 @@ grams as (select doc_id, array_to_string(ws[i:i+11], ' ') as gram from (select d
 select distinct doc_id, item_id from grams join items using (gram)
 """
 
-SQL = {"p8_found": _P8}
+_P2 = """
+with one as (select element_id, any_value(label) as label, any_value(variables) as variables from partial_elements group by element_id),
+words as (select element_id, list_distinct(regexp_extract_all(lower(concat_ws(' ', label, array_to_string([v.label for v in variables], ' '))), '[\\p{L}\\p{N}]+')) as ws
+          from one where len(regexp_extract_all(lower(label), '[\\p{L}\\p{N}]+')) >= 8),
+w as (select element_id, len(ws) as n, unnest(ws) as word from words),
+both as (select a.element_id as x, b.element_id as y, any_value(a.n) as na, any_value(b.n) as nb, count(*) as shared
+         from w a join w b on a.word = b.word and a.element_id < b.element_id group by 1, 2)
+select x as element_id_a, y as element_id_b from both where shared * 10 >= (na + nb - shared) * 7
+"""
+
+SQL = {"p2_found": _P2, "p8_found": _P8}
