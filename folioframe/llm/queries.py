@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioframe.llm import bpe_encode, leakage, lookalike, mojibake, near_duplicates, residue
+from folioframe.llm import bpe_encode, leakage, lookalike, mojibake, near_duplicates, residue, truncation
 from folioframe.session import table
 
 
@@ -27,6 +27,23 @@ def p2_groups(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicates.groups(members, links)
 
 
+def _cut_values(spark: SparkSession, d: str) -> DataFrame:
+    elements = truncation.values(table(spark, d, "partial_elements"), table="partial_elements", key="element_id", text="label", lang="lang", source="source")
+    chunks = truncation.values(table(spark, d, "chunk_results"), table="chunk_results", key="chunk_id", text="partial_content", lang=None, source="source")
+    return elements.unionByName(chunks)
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    found = truncation.judge(_cut_values(spark, d)).filter("cut")
+    return found.selectExpr("table as source_table", "id as record_id").distinct()
+
+
+def p4_rates(spark: SparkSession, d: str) -> DataFrame:
+    """The share of cut values for each source in both tables."""
+    rows = _cut_values(spark, d)
+    return truncation.truncation_rates(rows, truncation.judge(rows)).withColumnRenamed("table", "source_table")
+
+
 def _canonical(spark: SparkSession, d: str) -> DataFrame:
     elements, sections = table(spark, d, "partial_elements"), table(spark, d, "partial_sections")
     fitted = mojibake.learn(elements, columns=["label"])
@@ -66,7 +83,7 @@ def p9_clean_corpus(spark: SparkSession, d: str) -> DataFrame:
     return residue.without_residue(docs, residue.find_residue(docs)).select("doc_id", "source", "doc_kind")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_groups, p6_found, p6_canonical, p7_ids, p8_found, p8_leaked_items, p9_found, p9_clean_corpus)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_groups, p4_found, p4_rates, p6_found, p6_canonical, p7_ids, p8_found, p8_leaked_items, p9_found, p9_clean_corpus)}
 
 _P8 = """
 with w as (select item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') as ws from eval_items),
@@ -81,9 +98,9 @@ with one as (select element_id, any_value(label) as label, any_value(variables)
 words as (select element_id, list_distinct(regexp_extract_all(lower(concat_ws(' ', label, array_to_string([v.label for v in variables], ' '))), '[\\p{L}\\p{N}]+')) as ws
           from one where len(regexp_extract_all(lower(label), '[\\p{L}\\p{N}]+')) >= 8),
 w as (select element_id, len(ws) as n, unnest(ws) as word from words),
-both as (select a.element_id as x, b.element_id as y, any_value(a.n) as na, any_value(b.n) as nb, count(*) as shared
+met as (select a.element_id as x, b.element_id as y, any_value(a.n) as na, any_value(b.n) as nb, count(*) as shared
          from w a join w b on a.word = b.word and a.element_id < b.element_id group by 1, 2)
-select x as element_id_a, y as element_id_b from both where shared * 10 >= (na + nb - shared) * 7
+select x as element_id_a, y as element_id_b from met where shared * 10 >= (na + nb - shared) * 7
 """
 
 SQL = {"p2_found": _P2, "p8_found": _P8}
