@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioframe.llm import bpe_encode, leakage, lookalike, mojibake, near_duplicates, residue, truncation
+from folioframe.llm import bpe_encode, leakage, lookalike, mojibake, near_duplicates, residue, split_oversized, truncation
 from folioframe.session import table
 
 
@@ -44,6 +44,22 @@ def p4_rates(spark: SparkSession, d: str) -> DataFrame:
     return truncation.truncation_rates(rows, truncation.judge(rows)).withColumnRenamed("table", "source_table")
 
 
+_ITEM = ["source_table", "record_id", "chunk_no"]
+
+
+def _items(spark: SparkSession, d: str) -> DataFrame:
+    return split_oversized.conversion_items(table(spark, d, "conversion_results"), table(spark, d, "split_results"), table(spark, d, "split_profiles"))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return split_oversized.oversized_items(split_oversized.ranges(_items(spark, d)), _ITEM).select(*_ITEM)
+
+
+def p5_pieces(spark: SparkSession, d: str) -> DataFrame:
+    """The pieces of every item."""
+    return split_oversized.split_items(_items(spark, d), _ITEM)
+
+
 def _canonical(spark: SparkSession, d: str) -> DataFrame:
     elements, sections = table(spark, d, "partial_elements"), table(spark, d, "partial_sections")
     fitted = mojibake.learn(elements, columns=["label"])
@@ -83,7 +99,7 @@ def p9_clean_corpus(spark: SparkSession, d: str) -> DataFrame:
     return residue.without_residue(docs, residue.find_residue(docs)).select("doc_id", "source", "doc_kind")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_groups, p4_found, p4_rates, p6_found, p6_canonical, p7_ids, p8_found, p8_leaked_items, p9_found, p9_clean_corpus)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_groups, p4_found, p4_rates, p5_found, p5_pieces, p6_found, p6_canonical, p7_ids, p8_found, p8_leaked_items, p9_found, p9_clean_corpus)}
 
 _P8 = """
 with w as (select item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') as ws from eval_items),
@@ -103,4 +119,13 @@ met as (select a.element_id as x, b.element_id as y, any_value(a.n) as na, any_v
 select x as element_id_a, y as element_id_b from met where shared * 10 >= (na + nb - shared) * 7
 """
 
-SQL = {"p2_found": _P2, "p8_found": _P8}
+_P5 = """
+with d as (select max_chars from split_profiles where is_default),
+items as (
+    select 'conversion_results' as source_table, conversion_id as record_id, cast(0 as bigint) as chunk_no, profile_name, markdown_content as text from conversion_results
+    union select 'split_results', split_id, cast(generate_subscripts(chunks, 1) - 1 as bigint), profile_name, unnest(chunks) from split_results)
+select distinct source_table, record_id, chunk_no from items left join split_profiles using (profile_name)
+where length(text) > coalesce(max_chars, (select max_chars from d))
+"""
+
+SQL = {"p2_found": _P2, "p5_found": _P5, "p8_found": _P8}
