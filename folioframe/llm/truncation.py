@@ -39,22 +39,26 @@ ORDERS = (1, 2, 3, 4)
 PARTS = (2, 3, 4)
 #: words up to this length are judged as beginnings, however they begin
 SHORT = 3
+#: characters of the last line that its contexts can reach
+CONTEXT = 240
 SLOTS = 1 << 20
 # What can't be seen, and marks that close a sentence.
-UNSEEN = r"[­​-‏⁠-⁤﻿]"
-CLOSED = r"[.?!;。．？！;；]$"
-DOTS = r"(?<=[^\s.…])\s{0,0}(?:…+|\.{2,})$"
-NAME = r"(?<=[^.?!:)\s…] |\()\p{Lu}[\p{L}\p{M}'’]+"
-TOKEN = r"[\p{L}\p{M}'’]+|0|(?:\\?[*=])+|[^\p{L}\p{M}\s0]"
+UNSEEN = "\u00ad\u200b\u200c\u200d\u200e\u200f\u2060\u2061\u2062\u2063\u2064\ufeff"
+BLANK = " \t\r\n\u00a0\u200b\ufeff\u3000"
+SPACES = "\t\u00a0\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u3000"
+CLOSED = tuple(".?!;。．？！;；")
+DOTS = r"(?<=[^\s.…])(?:…+|\.{2,})$"
+NAME = r"\p{Lu}(?<=(?:[^.?!:)\s…] |\()\p{Lu})[\p{L}\p{M}'’]+"
+TOKEN = r"[\p{L}\p{M}'’]+|(?<!0)0|(?:\\?[*=])+|[^\p{L}\p{M}\s0]"
 
 
 def _clean(c: Column) -> Column:
-    spaced = F.regexp_replace(F.regexp_replace(c.cast("string"), UNSEEN, ""), r"[\t  -  　]", " ")
-    return F.rtrim(F.regexp_replace(F.replace(spaced, F.lit("\r\n"), F.lit("\n")), r"\s+$", ""))
+    # without regular expressions: every text of both tables goes through here
+    return F.rtrim(F.translate(c.cast("string"), SPACES + "\r" + UNSEEN, " " * len(SPACES)), F.lit(" \n"))
 
 
 def _skeleton(c: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(c, NAME, "N"), r"\d+", "0")
+    return F.regexp_replace(F.translate(c, "123456789", "000000000"), NAME, "N")
 
 
 def _token_hashes(line: Column) -> Column:
@@ -62,18 +66,22 @@ def _token_hashes(line: Column) -> Column:
 
 
 def values(df: DataFrame, *, table: str, key: str, text: str, lang: str | None, source: str | None) -> DataFrame:
-    """(table, id, lang, source, text) of the values that aren't blank, cleaned."""
+    """(table, id, lang, source, text) of the values that aren't blank, without blanks at their end."""
     col = lambda c: F.col(c).cast("string") if c else F.lit(None).cast("string")
-    rows = df.select(F.lit(table).alias("table"), F.col(key).alias("id"), col(lang).alias("lang"), col(source).alias("source"), _clean(F.col(text)).alias("text"))
-    return rows.filter(F.length("text") > 0)
+    rows = df.select(F.lit(table).alias("table"), F.col(key).alias("id"), col(lang).alias("lang"), col(source).alias("source"), F.rtrim(F.col(text).cast("string"), F.lit(BLANK)).alias("text"))
+    return rows.filter("text <> ''")
 
 
 def _ends(rows: DataFrame) -> DataFrame:
     """The ends under test: last line, whether dots were taken off, its last word."""
-    last = F.element_at(F.split("text", "\n"), -1)
-    open_end = rows.select("table", "id", "lang", last.alias("line")).withColumn("dotted", F.col("line").rlike(DOTS)).filter(F.col("dotted") | ~F.col("line").rlike(CLOSED))
+    # the ordinary case, a closed sentence, is told by its last two characters
+    tail = F.right("line", F.lit(2))
+    dotted = F.when((tail == "..") | F.endswith(tail, F.lit("…")), F.col("line").rlike(DOTS)).otherwise(False)
+    closed = F.right("line", F.lit(1)).isin(*CLOSED) & ~((tail == "..") | F.endswith(tail, F.lit("…")))
+    lines = rows.select("table", "id", "lang", F.right(F.substring_index("text", "\n", -1), F.lit(CONTEXT)).alias("line")).filter(~closed)
+    open_end = lines.select("table", "id", "lang", _clean(F.col("line")).alias("line")).withColumn("dotted", dotted).filter(F.col("dotted") | ~F.right("line", F.lit(1)).isin(*CLOSED))
     stripped = F.when(F.col("dotted"), F.regexp_replace("line", DOTS, "")).otherwise(F.col("line"))
-    return open_end.select("table", "id", "lang", "dotted", stripped.alias("line")).withColumn("word", F.regexp_extract("line", r"[\p{L}\p{M}'’]+$", 0)).withColumn("tokens", _token_hashes(F.col("line")))
+    return open_end.select("table", "id", "lang", "dotted", stripped.alias("line")).withColumn("word", F.regexp_extract("line", r"(?<![\p{L}\p{M}'’])[\p{L}\p{M}'’]++$", 0)).withColumn("tokens", _token_hashes(F.col("line")))
 
 
 def _chains(tokens: np.ndarray, first: np.ndarray, seed: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -145,33 +153,42 @@ def _line_counts(rows: DataFrame, slots: np.ndarray) -> DataFrame:
                     n = np.bincount(inverse, minlength=len(keys)).astype(np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(s), pa.array(n - s)], names=["h", "stop", "go"])
 
-    lines = rows.select("table", F.explode(F.split("text", r"\s*\n\s*")).alias("line")).filter("line <> ''")
+    lines = rows.select("table", F.explode(F.split("text", "\n")).alias("line")).select("table", F.trim(_clean(F.col("line"))).alias("line")).filter("line <> ''")
     return lines.select("table", _token_hashes(F.col("line")).alias("tokens")).mapInArrow(run, "h bigint, stop bigint, go bigint").groupBy("h").agg(F.sum("stop").alias("stop"), F.sum("go").alias("go"))
 
 
 def _word_counts(rows: DataFrame) -> DataFrame:
-    return rows.select(F.explode(F.regexp_extract_all("text", F.lit(r"[\p{L}\p{M}'’]+"), F.lit(0))).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+    return rows.select(F.explode(F.split(F.translate("text", UNSEEN, ""), r"[^\p{L}\p{M}'’]+")).alias("w")).filter("w <> ''").groupBy("w").agg(F.count("*").alias("n"))
 
 
-def _word_contexts(words: DataFrame, usual: int = 20) -> DataFrame:
+def _word_contexts(words: DataFrame, usual: int = 20, longest: int = 60) -> DataFrame:
     """(c, stop, go): of the beginnings of small words, of the parts of other words, and of those as a whole that are usual."""
-    small = F.col("w").rlike(r"^\p{Ll}")
-    size = F.length("w")
-    starts = words.filter(small & (size <= 40)).select("n", size.alias("size"), F.explode(F.transform(F.sequence(F.lit(1), size), lambda i: F.struct(F.concat(F.lit("^"), F.substring("w", F.lit(1), i)).alias("c"), i.alias("i")))).alias("x"))
-    others = words.filter(~small & (size <= 60))
-
-    def ends(k: int) -> DataFrame:
-        cut = lambda i: F.struct(F.substring("w", i - (k - 1), F.lit(k)).alias("c"), i.alias("i"))
-        return others.filter(size >= k).select("n", size.alias("size"), F.explode(F.transform(F.sequence(F.lit(k), size), cut)).alias("x"))
-
-    common = words.filter(~small & (F.col("n") >= usual)).select("n", size.alias("size"), F.struct(F.concat(F.lit("^"), "w").alias("c"), size.alias("i")).alias("x"))
-    first = lambda i: F.struct(F.concat(F.lit("^"), F.substring("w", F.lit(1), i)).alias("c"), i.alias("i"))
-    openings = words.filter(~small).select("n", size.alias("size"), F.explode(F.transform(F.sequence(F.lit(1), F.least(size, F.lit(SHORT))), first)).alias("x"))
-    rows = starts.unionByName(common.filter(F.col("size") > SHORT)).unionByName(openings)
-    for k in PARTS:
-        rows = rows.unionByName(ends(k))
-    stop = F.col("x.i") == F.col("size")
-    return rows.groupBy("x.c").agg(F.sum(F.when(stop, F.col("n")).otherwise(0)).alias("stop"), F.sum(F.when(stop, 0).otherwise(F.col("n"))).alias("go"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stop: dict[str, int] = {}
+        go: dict[str, int] = {}
+        for b in batches:
+            for w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                size = len(w)
+                if size > longest:
+                    continue
+                whole = "^" + w
+                small = w[0].islower()
+                for i in range(2, size + 1 if small else min(size, SHORT + 1)):
+                    go[whole[:i]] = go.get(whole[:i], 0) + n
+                if small or size <= SHORT or n >= usual:
+                    stop[whole] = stop.get(whole, 0) + n
+                if not small:
+                    for k in PARTS:
+                        for i in range(size - k):
+                            c = w[i : i + k]
+                            go[c] = go.get(c, 0) + n
+                        if size >= k:
+                            stop[w[-k:]] = stop.get(w[-k:], 0) + n
+        keys = list(stop.keys() | go.keys())
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([stop.get(c, 0) for c in keys], pa.int64()), pa.array([go.get(c, 0) for c in keys], pa.int64())], names=["c", "stop", "go"])
+
+    return words.select("w", "n").mapInArrow(run, "c string, stop bigint, go bigint").groupBy("c").agg(F.sum("stop").alias("stop"), F.sum("go").alias("go"))
 
 
 def _thresholds(scored: DataFrame, default: float = -1.5, least: int = 100) -> DataFrame:
