@@ -170,7 +170,7 @@ def question_parts(q: DataFrame, *, key: str = "page_id") -> DataFrame:
 
 def collapse_markdown(c: Column) -> Column:
     """Line ends stripped, runs of blank lines made one, outer white space stripped."""
-    return strip(F.regexp_replace(F.regexp_replace(c, r"(?m)[ \t\r]+$", ""), r"\n{3,}", "\n\n"))
+    return strip(F.regexp_replace(F.regexp_replace(c, r"(?md)[ \t\r]+$", ""), r"\n{3,}", "\n\n"))
 
 
 def to_markdown(df: DataFrame, *, key: str = "page_id", html: str = "html") -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from folioframe.plans import nested_queries
+from folioframe.plans import document_queries, nested_queries, table_queries
 
-QUERIES = {**nested_queries.QUERIES}
-SQL = {**nested_queries.SQL}
+_MODULES = (nested_queries, document_queries, table_queries)
+QUERIES = {n: q for m in _MODULES for n, q in m.QUERIES.items()}
+SQL = {n: q for m in _MODULES for n, q in m.SQL.items()}
