@@ -48,7 +48,7 @@ def main(argv: list[str] | None = None) -> int:
     elif a.command == "survey":
         docs = files.text_files(spark, a.source).withColumnRenamed("path", "doc_id")
         chunks = chunking.explode_chunks(docs, chunking.by_delimiter(F.col("text")), keep=["doc_id"])
-        sinks.write_json(assemble.survey_json(chunks.withColumn("result", extract.rule_extract(F.col("chunk")))), a.target)
+        sinks.write_json(assemble.survey_json(extract.rule_extract(chunks)), a.target)
     elif a.command == "validate":
         metrics.validate_stats(files.text_files(spark, a.source), key="path", text="text").show(1000, truncate=False)
     elif a.command == "clean-html":

@@ -90,26 +90,34 @@ def section_label(title: Column) -> Column:
     return strip(F.when(F.regexp_like(title, F.lit(r"(?i)^\w+\s+SECTION\b")), F.regexp_replace(bare, r"\s*\(.*$", "")).otherwise(bare))
 
 
-def rule_extract(chunk: Column) -> Column:
-    """The extraction result of a chunk by rules."""
+def _found_sections(chunk: Column) -> Column:
     titles = F.transform(F.regexp_extract_all(chunk, F.lit(r"(?m)^\s*#+ (.+)$"), F.lit(1)), strip)
-    sections = F.transform(titles, lambda t: F.struct(section_code(t).alias("code"), section_label(t).alias("label"), F.lit(None).cast("string").alias("notes"), F.lit(None).cast("int").alias("position")))
-    pieces = F.filter(F.split(chunk, MARK_AHEAD, -1), lambda p: p.rlike(MARK))
-    elements = F.transform(pieces, element_of)
-    open_end = chunk.rlike(r"(?:\|[^|\n]*[^|\s][^|\n]*|,|\p{Ll})\s*\z") & ~chunk.rlike(r"\|\s*\z")
-    kind = F.when(F.size(sections) > 0, "SECTION_START").when(F.size(elements) > 0, "ELEMENT_START").when(F.contains(chunk, F.lit("|")), "ELEMENT_CONTINUATION").otherwise("UNKNOWN")
+    return F.transform(titles, lambda t: F.struct(section_code(t).alias("code"), section_label(t).alias("label"), F.lit(None).cast("string").alias("notes"), F.lit(None).cast("int").alias("position")))
+
+
+def rule_extract(chunks: DataFrame, *, chunk: str = "chunk") -> DataFrame:
+    """The chunks with ``result``, the extraction by rules.
+
+    Sections and elements are columns of their own first, so that each is found once.
+    """
+    c, sections, elements = F.col(chunk), F.col("found_sections"), F.col("found_elements")
+    pieces = F.filter(F.split(c, MARK_AHEAD, -1), lambda p: p.rlike(MARK))
+    found = chunks.withColumn("found_sections", _found_sections(c)).withColumn("found_elements", F.transform(pieces, element_of))
+    open_end = c.rlike(r"(?:\|[^|\n]*[^|\s][^|\n]*|,|\p{Ll})\s*\z") & ~c.rlike(r"\|\s*\z")
+    kind = F.when(F.size(sections) > 0, "SECTION_START").when(F.size(elements) > 0, "ELEMENT_START").when(F.contains(c, F.lit("|")), "ELEMENT_CONTINUATION").otherwise("UNKNOWN")
     bad = F.filter(elements, lambda e: ~e["type"].isin(*TYPES))
-    odd = F.filter(F.flatten(F.transform(elements, lambda e: e["columns"])), lambda c: F.expr("true") & c["code"].try_cast("int").isNull())
+    odd = F.filter(F.flatten(F.transform(elements, lambda e: e["columns"])), lambda x: x["code"].try_cast("int").isNull())
     error = F.concat_ws("; ", F.when(F.size(bad) > 0, F.concat(F.lit("unknown type "), F.array_join(F.transform(bad, lambda e: e["type"]), ", "))), F.when(F.size(odd) > 0, F.lit("a column code isn't a whole number")))
-    return F.struct(
+    result = F.struct(
         kind.alias("chunk_type"),
         sections.alias("extracted_sections"),
         elements.alias("extracted_elements"),
-        F.when(open_end, chunk).alias("partial_content"),
+        F.when(open_end, c).alias("partial_content"),
         open_end.alias("requires_continuation"),
         F.when(F.size(elements) + F.size(sections) > 0, 0.9).otherwise(0.3).alias("confidence"),
         F.nullif(error, F.lit("")).alias("error"),
     )
+    return found.withColumn("result", result).drop("found_sections", "found_elements")
 
 
 def token_estimate(text: Column) -> Column:

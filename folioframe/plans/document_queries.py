@@ -182,7 +182,7 @@ def variable_rows(spark, d):
 
 
 def _results(spark, d):
-    return _chunks(spark, d).withColumn("result", extract.rule_extract(F.col("chunk")))
+    return extract.rule_extract(_chunks(spark, d))
 
 
 def extracted_elements(spark, d):
