@@ -24,6 +24,8 @@ is missing; whole texts of any length are used; an empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,24 +51,28 @@ FILLER_SENTENCE = (
     r"(?iu)\b(?:placeholder|sample|dummy|filler) (?:paragraph|text|copy)\b[^\n]{0,30}(?:\bgoes here|\breplace|\bto test|–|$)|\btext goes here\b|\bdummy copy\b"
     r"|\bblindtext\b|texto de relleno|texto de exemplo|texte factice|tekst zastępczy|текст-заполнитель|текст-рыба|örnek metin|κείμενο δοκιμής|ダミーテキスト"
 )
-# What servers, programs and browsers say. A subject alone is weak evidence.
+# What servers, programs and browsers say. A subject alone is weak evidence, and no condition of the other.
 SUBJECT = r"(?iu)script|\bjs\b|\bpage\b|página|seite|страниц|strona|sayfa|browser|server|serveur|servidor|сервер|sunucu|service|session|login|signed out|log in|access|acesso|acceso|accès|denied|gateway|forbidden|unauthori|not found|error|exception|fatal|traceback|maintenance|wartung|permission|upstream|retry-after|too many requests|overloaded"
-NOTICE = (
+#: for each pattern, the parts of which every text it matches has one at least, once it is folded
+NOTICES = (
     # a status line, a page or an object of a status
-    r"(?iu)^\W*(?:http\S* )?[45]\d\d\b\W{0,3}(?:not found|forbidden|unauthori[sz]ed|bad gateway|bad request|gateway time-?out|service unavailable|internal server error|too many requests|request time-?out|gone|method not allowed)\W*$"
-    r"|<title>\s*[45]\d\d\b|[\"']error[\"']\s*:|[\"']status[\"']\s*:\s*[45]\d\d"
-    # a program's own words
-    r"|traceback \(most recent call|\bat [\w.$]+\(\w+\.\w+:\d+\)|\bfatal error:|\bwarning: undefined|\bon line \d+\b|\w+(?:exception|error): "
+    (("not found", "forbidden", "unauthori", "bad gateway", "bad request", "gateway time", "service unavailable", "internal server error", "too many requests", "request time", "gone", "not allowed"), r"^\W*(?:http\S* )?[45]\d\d\b\W{0,3}(?:not found|forbidden|unauthori[sz]ed|bad gateway|bad request|gateway time-?out|service unavailable|internal server error|too many requests|request time-?out|gone|method not allowed)\W*$"),
+    (("<title>", 'error"', "error'", 'status"', "status'"), r"<title>\s*[45]\d\d\b|[\"']error[\"']\s*:|[\"']status[\"']\s*:\s*[45]\d\d"),
+    # a program's own words; frames of a stack are looked up by FRAME
+    (("traceback (most", "fatal error:", "warning: undefined", "on line ", "exception: ", "error: "), r"traceback \(most recent call|\bat [\w.$]+\(\w+\.\w+:\d+\)|\bfatal error:|\bwarning: undefined|\bon line \d+\b|\w+(?:exception|error): "),
     # scripts that are needed
-    r"|(?:javascript|\bjs\b|active scripts?|client-side scripts?|scripting|\bscripts?\b).{0,60}(?:enable|activ|ativ|aktiv|switch|turn|allow|requir|must be|needed|not support|blocked|is off|włącz|включ|etkin|ενεργο|有効)"
-    r"|(?:enable|activ|ativ|aktiv|switch|turn|allow|requir|need|not support|włącz|включ|etkin|ενεργο).{0,60}(?:javascript|\bjs\b|active scripts?|client-side scripts?|scripting|\bscripts?\b)"
+    (("script", "js"), r"(?:javascript|\bjs\b|active scripts?|client-side scripts?|scripting|\bscripts?\b).{0,60}(?:enable|activ|ativ|aktiv|switch|turn|allow|requir|must be|needed|not support|blocked|is off|włącz|включ|etkin|ενεργο|有効)"),
+    (("script", "js"), r"(?:enable|activ|ativ|aktiv|switch|turn|allow|requir|need|not support|włącz|включ|etkin|ενεργο).{0,60}(?:javascript|\bjs\b|active scripts?|client-side scripts?|scripting|\bscripts?\b)"),
     # pages, sessions and services that aren't there
-    r"|can.?t find the page|\b(?:page|address|resource|file)\b.{0,30}(?:not found|could not be found|does not exist|no longer exists)|página no encontrada|página não encontrada|page (?:introuvable|non trouvée)|seite nicht gefunden|страница не найдена|nie znaleziono strony|sayfa bulunamadı|η σελίδα δεν βρέθηκε|ページが見つかりません"
-    r"|internal server error|erreur interne|error interno|interner (?:server)?fehler|внутренняя ошибка|wewnętrzny błąd|sunucu hatası"
-    r"|(?:access|permission) (?:is )?denied|acesso negado|acceso denegado|accès refusé|zugriff verweigert|доступ запрещ|odmowa dostępu|erişim engellendi|do not have permission|may not open this"
-    r"|session has (?:expired|ended)|been signed out|login token|sign in again|log in and try|token is no longer valid"
-    r"|scheduled maintenance|wartungsarbeiten|upgrading the server|service is overloaded|temporarily unavailable|upstream system|did not answer in time|could not complete your request|retry-after:|checking your browser"
+    (("find the page", "not found", "could not be found", "does not exist", "no longer exists"), r"can.?t find the page|\b(?:page|address|resource|file)\b.{0,30}(?:not found|could not be found|does not exist|no longer exists)"),
+    (("página no encontrada", "página não encontrada", "page introuvable", "page non trouvée", "seite nicht gefunden", "страница не найдена", "nie znaleziono strony", "sayfa bulunamadı", "η σελίδα δεν βρέθηκε", "ページが見つかりません"), r"página no encontrada|página não encontrada|page (?:introuvable|non trouvée)|seite nicht gefunden|страница не найдена|nie znaleziono strony|sayfa bulunamadı|η σελίδα δεν βρέθηκε|ページが見つかりません"),
+    (("internal server error", "erreur interne", "error interno", "interner ", "внутренняя ошибка", "wewnętrzny błąd", "sunucu hatası"), r"internal server error|erreur interne|error interno|interner (?:server)?fehler|внутренняя ошибка|wewnętrzny błąd|sunucu hatası"),
+    (("access denied", "access is denied", "permission denied", "permission is denied", "acesso negado", "acceso denegado", "accès refusé", "zugriff verweigert", "доступ запрещ", "odmowa dostępu", "erişim engellendi", "do not have permission", "may not open this"), r"(?:access|permission) (?:is )?denied|acesso negado|acceso denegado|accès refusé|zugriff verweigert|доступ запрещ|odmowa dostępu|erişim engellendi|do not have permission|may not open this"),
+    (("session has e", "been signed out", "login token", "sign in again", "log in and try", "token is no longer valid"), r"session has (?:expired|ended)|been signed out|login token|sign in again|log in and try|token is no longer valid"),
+    (("scheduled maintenance", "wartungsarbeiten", "upgrading the server", "service is overloaded", "temporarily unavailable", "upstream system", "did not answer in time", "could not complete your request", "retry-after:", "checking your browser"), r"scheduled maintenance|wartungsarbeiten|upgrading the server|service is overloaded|temporarily unavailable|upstream system|did not answer in time|could not complete your request|retry-after:|checking your browser"),
 )
+NOTICE = "(?iu)" + "|".join(pattern for _, pattern in NOTICES)
+FRAME = r"\(\w+\.\w+:\d+\)"
 # Signs that somebody talks about a notice.
 TALK = r"(?iu)\?\s*$|[“„«\"]try again|\b(?:interviewer|respondent|programmer|panel|wave|participants?|questionnaire team|moderator|note|noted|notes|said|told|reported|asked|wrote|replied|saw|met an?)\b"
 NOTICE_HEAD = r"(?iu)^(?:this questionnaire requires|[<{]|traceback|java\.|warning:|fatal)"
@@ -79,25 +85,54 @@ def _has(t: Column, parts: tuple[str, ...]) -> Column:
     return out
 
 
+def _folded(t: Column) -> Column:
+    """The text in small letters, as ``(?iu)`` compares them: i with and without its dot, both s, both sigmas are one."""
+    t = F.lower(F.replace(t, F.lit("İ"), F.lit("i")))
+    for a, b in (("ı", "i"), ("ſ", "s"), ("ς", "σ")):
+        t = F.replace(t, F.lit(a), F.lit(b))
+    return t
+
+
+def _parts(parts: Iterable[str]) -> tuple[str, ...]:
+    """The parts as they stand in a folded text, without those that contain another."""
+    folded = {p.translate(str.maketrans("İıſς", "iisσ")).lower() for p in parts}
+    return tuple(sorted(p for p in folded if not any(o in p for o in folded - {p})))
+
+
+NOTICE_PARTS = _parts(p for parts, _ in NOTICES for p in parts)
+
+
 def is_filler(t: Column) -> Column:
     return (_has(t, LATIN_PARTS) & t.rlike(LATIN_ROW)) | (_has(t, KEY_PARTS) & t.rlike(KEY_ROW)) | t.rlike(SAME_ROW) | (_has(t, SENTENCE_PARTS) & t.rlike(FILLER_SENTENCE))
 
 
-def subject_blocks(text: Column) -> Column:
-    """The paragraphs that could be a notice and have its subject, white space collapsed; line ends of all styles.
+def blocks(text: Column) -> Column:
+    """The paragraphs that could be a notice, white space collapsed; line ends of all styles.
 
     Those are short, and no table row, heading, list entry or line of an interview.
     """
     raw = F.split(F.replace(text, F.lit("\r\n"), F.lit("\n")), r"\n\s*\n")
     own = r"(?i)^\s*(?:java\.|warning:|(?:fatal )?error:|\w*exception:)"
     plain = lambda b: F.length(b).between(3, 600) & (~b.rlike(r"^\s*(?:[#|*\\>-]|<!--|\p{L}+:)") | b.rlike(own))
-    return F.transform(F.filter(raw, lambda b: plain(b) & b.rlike(SUBJECT)), lambda b: F.trim(F.regexp_replace(b, r"[\s ]+", " ")))
+    return F.transform(F.filter(raw, plain), lambda b: F.trim(F.regexp_replace(b, r"\s+", " ")))
+
+
+def subject_blocks(text: Column) -> Column:
+    """The blocks that have the subject of a notice."""
+    return F.filter(blocks(text), lambda b: b.rlike(SUBJECT))
 
 
 def _notice(b: Column) -> Column:
     return b.rlike(NOTICE) & (~b.rlike(TALK) | b.rlike(NOTICE_HEAD))
 
 
+def has_notice(text: Column) -> Column:
+    """Whether a block reads as a notice; texts without any part of one aren't split."""
+    # the blocks of a text, collapsed, stand in the text collapsed
+    line = _folded(F.regexp_replace(text, r"\s{2,}|[\t\n\x0b\f\r]", " "))
+    return F.when(_has(line, NOTICE_PARTS) | text.rlike(FRAME), F.exists(blocks(text), _notice)).otherwise(False)
+
+
 def slug_terms(df: DataFrame, least_share: float = 0.02) -> DataFrame:
     """(slug, terms): the words that lead at least this share of the documents of a slug.
 
@@ -119,17 +154,17 @@ def find_residue(df: DataFrame, *, key: str = "doc_id", text: str = "text", path
     docs = df.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"), F.element_at(F.split(path, "/"), -2).alias("slug") if path in df.columns else F.lit(None).cast("string").alias("slug"), F.col(host).cast("string").alias("host") if host in df.columns else F.lit(None).cast("string").alias("host")).filter(F.length(F.trim(t)) > 0)
     # the first eight words stand for the title and the lead; the body is judged whole
     lead = F.slice(F.regexp_extract_all(F.lower(F.substring(t, 1, 200)), F.lit(r"[\p{L}]+"), F.lit(0)), 1, 8).alias("lead")
-    seen = docs.select("k", "slug", "host", t.rlike(FIELD).alias("field"), is_filler(t).alias("filler"), subject_blocks(t).alias("blocks"), "t", lead)
-    judged = seen.withColumn("notice", F.exists("blocks", _notice))
+    judged = docs.select("k", "slug", "host", t.rlike(FIELD).alias("field"), is_filler(t).alias("filler"), has_notice(t).alias("notice"), "t", lead)
     direct = F.col("field") | F.col("filler") | F.col("notice")
-    low = F.when(direct | (F.size("blocks") == 0), False).otherwise(F.size(F.split("t", r"\s+")) <= low_words)
-    evident = cut_lineage(judged.withColumn("low", low).filter(direct | F.col("low")).drop("t"))
+    few = F.size(F.split("t", r"\s+", low_words + 1)) <= low_words
+    low = F.when(direct | ~few, False).otherwise(t.rlike(SUBJECT))
+    evident = cut_lineage(judged.withColumn("low", low).filter(direct | F.col("low")).withColumn("t", F.when(F.col("low"), t)))
     flagged = evident.filter(direct).select("k", "field", "filler", "notice", F.lit(False).alias("mismatch"))
 
     # blocks with a subject only: duplicates over hosts, and the slug against the lead
     masked = lambda b: F.xxhash64(F.regexp_replace(F.lower(b), r"[0-9a-f]{8,}|\d+", "0"))
     weak = evident.filter("low")
-    weak = weak.select("k", "slug", "host", "lead", F.explode(F.filter("blocks", lambda b: ~b.rlike(TALK))).alias("b")).withColumn("h", masked(F.col("b")))
+    weak = weak.select("k", "slug", "host", "lead", F.explode(F.filter(subject_blocks(t), lambda b: ~b.rlike(TALK))).alias("b")).withColumn("h", masked(F.col("b")))
     common = weak.groupBy("h").agg(F.countDistinct("k").alias("docs"), F.countDistinct("host").alias("hosts")).filter(F.col("docs") >= copies)
     leads = docs.select("slug", lead)
     suspects = weak.join(common, "h").join(slug_terms(leads), "slug").filter(~F.arrays_overlap("lead", "terms"))
