@@ -9,14 +9,17 @@ both read backwards from the end of the text:
     * across words, the last one to four tokens, where names have become one
       symbol and digits another; the question is whether the line ends there.
 The longest context with enough evidence decides, without the value's own
-occurrence. A value is cut where the log-odds of ending against going on fall
+occurrence. Copies and redeliveries don't vouch for each other: across words a
+text of a table counts once for each source that has it, as titles do that many
+sources have; within words the records of its commonest source count as one. A
+value is cut where the log-odds of ending against going on fall
 below the threshold of its language and column, which lies in the valley of the
 log-odds of that language and column. Sentences closed by their mark are whole;
 dots put directly after a word are taken off before the end is judged.
 
 Scale: word counts and context counts are partial aggregates; contexts are only
 counted where their hash meets a table of fixed size filled from the ends under
-test. Texts stay in their rows, only ends under test are shuffled.
+test. Texts are shuffled once, to count each once, and ends under test.
 
 Defined results: null, empty and blank values are whole; a value without any
 evidence is whole; copies of a record (same id) come out once; a null language is
@@ -81,7 +84,7 @@ def _ends(rows: DataFrame) -> DataFrame:
     lines = rows.select("table", "id", "lang", F.right(F.substring_index("text", "\n", -1), F.lit(CONTEXT)).alias("line")).filter(~closed)
     open_end = lines.select("table", "id", "lang", _clean(F.col("line")).alias("line")).withColumn("dotted", dotted).filter(F.col("dotted") | ~F.right("line", F.lit(1)).isin(*CLOSED))
     stripped = F.when(F.col("dotted"), F.regexp_replace("line", DOTS, "")).otherwise(F.col("line"))
-    return open_end.select("table", "id", "lang", "dotted", stripped.alias("line")).withColumn("word", F.regexp_extract("line", r"(?<![\p{L}\p{M}'’])[\p{L}\p{M}'’]++$", 0)).withColumn("tokens", _token_hashes(F.col("line")))
+    return open_end.select("table", "id", "lang", "dotted", stripped.alias("line")).withColumn("word", F.regexp_extract("line", r"(?<![\p{L}\p{M}'’])[\p{L}\p{M}'’]++$", 0)).withColumn("tokens", _token_hashes(F.col("line"))).withColumn("same", F.xxhash64("line", "dotted"))
 
 
 def _chains(tokens: np.ndarray, first: np.ndarray, seed: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -133,8 +136,14 @@ def _end_contexts(ends: DataFrame) -> DataFrame:
     return ends.select("table", "id", "dotted", "tokens").mapInArrow(run, f"table string, id {kind}, dotted boolean, k int, h bigint")
 
 
-def _line_counts(rows: DataFrame, slots: np.ndarray) -> DataFrame:
-    """(h, stop, go): how often a context under test is the end of a line, and how often not."""
+def _texts(rows: DataFrame) -> DataFrame:
+    """(table, text, n, m): each text once, with its sources, and with its records but for those of its commonest source, which count as one."""
+    by_source = rows.groupBy("table", "text", F.coalesce("source", F.lit("")).alias("source")).agg(F.countDistinct("id").alias("ids"))
+    return by_source.groupBy("table", "text").agg(F.count("*").alias("n"), (F.sum("ids") - F.max("ids") + 1).alias("m"))
+
+
+def _line_counts(texts: DataFrame, slots: np.ndarray) -> DataFrame:
+    """(h, stop, go): how often a context under test is the end of a line, and how often not, over texts that count ``n`` times."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -145,20 +154,22 @@ def _line_counts(rows: DataFrame, slots: np.ndarray) -> DataFrame:
             first = np.repeat(offsets[:-1], size)
             stop = np.zeros(len(tokens), bool)
             stop[offsets[1:][size > 0] - 1] = True
+            weight = np.repeat(b.column(2).to_numpy(zero_copy_only=False), size)
             for _, places, h in _chains(tokens, first, np.repeat(_seeds(b.column(0)), size)):
                 hit = slots[(h & np.uint64(SLOTS - 1)).astype(np.int64)]
                 keys, inverse = np.unique(h[hit], return_inverse=True)
                 if len(keys):
-                    s = np.bincount(inverse, weights=stop[places[hit]], minlength=len(keys)).astype(np.int64)
-                    n = np.bincount(inverse, minlength=len(keys)).astype(np.int64)
+                    w = weight[places[hit]]
+                    s = np.bincount(inverse, weights=w * stop[places[hit]], minlength=len(keys)).astype(np.int64)
+                    n = np.bincount(inverse, weights=w, minlength=len(keys)).astype(np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(s), pa.array(n - s)], names=["h", "stop", "go"])
 
-    lines = rows.select("table", F.explode(F.split("text", "\n")).alias("line")).select("table", F.trim(_clean(F.col("line"))).alias("line")).filter("line <> ''")
-    return lines.select("table", _token_hashes(F.col("line")).alias("tokens")).mapInArrow(run, "h bigint, stop bigint, go bigint").groupBy("h").agg(F.sum("stop").alias("stop"), F.sum("go").alias("go"))
+    lines = texts.select("table", "n", F.explode(F.split("text", "\n")).alias("line")).select("table", "n", F.trim(_clean(F.col("line"))).alias("line")).filter("line <> ''")
+    return lines.select("table", _token_hashes(F.col("line")).alias("tokens"), "n").mapInArrow(run, "h bigint, stop bigint, go bigint").groupBy("h").agg(F.sum("stop").alias("stop"), F.sum("go").alias("go"))
 
 
-def _word_counts(rows: DataFrame) -> DataFrame:
-    return rows.select(F.explode(F.split(F.translate("text", UNSEEN, ""), r"[^\p{L}\p{M}'’]+")).alias("w")).filter("w <> ''").groupBy("w").agg(F.count("*").alias("n"))
+def _word_counts(texts: DataFrame) -> DataFrame:
+    return texts.select("m", F.explode(F.split(F.translate("text", UNSEEN, ""), r"[^\p{L}\p{M}'’]+")).alias("w")).filter("w <> ''").groupBy("w").agg(F.sum("m").alias("n"))
 
 
 def _word_contexts(words: DataFrame, usual: int = 20, longest: int = 60) -> DataFrame:
@@ -204,11 +215,12 @@ def _thresholds(scored: DataFrame, default: float = -1.5, least: int = 100) -> D
 def judge(rows: DataFrame, *, enough: int = 4, enough_word: int = 8, sure: float = 3.0) -> DataFrame:
     """(table, id, lang, line_odds, word_odds, limit, cut) of every end under test."""
     ends = cut_lineage(_ends(rows))
+    texts = cut_lineage(_texts(rows))
     contexts = _end_contexts(ends)
     slots = np.zeros(SLOTS, bool)
     for r in contexts.select(F.col("h").bitwiseAND(SLOTS - 1).alias("s")).distinct().collect():  # at most 2**20 rows
         slots[r.s] = True
-    counts = _line_counts(rows, slots)
+    counts = _line_counts(texts, slots)
     own = F.when(F.col("dotted"), 0).otherwise(1)
     stop, go = F.greatest(F.col("stop") - own, F.lit(0)), F.greatest(F.col("go") - (1 - own), F.lit(0))
     line = contexts.join(counts, "h").select("table", "id", "k", stop.alias("stop"), go.alias("go")).filter(F.col("stop") + F.col("go") >= enough)
@@ -218,12 +230,12 @@ def judge(rows: DataFrame, *, enough: int = 4, enough_word: int = 8, sure: float
     start = F.struct(F.concat(F.lit("^"), "word").alias("c"), F.lit(9).alias("k"))
     asked = ends.filter("word <> ''").select("table", "id", "dotted", F.explode(F.when(small, F.array(start)).otherwise(F.array(start, *[F.struct(F.substring("word", -k, k).alias("c"), F.lit(k).alias("k")) for k in PARTS]))).alias("q")).select("table", "id", "dotted", "q.c", "q.k")
     w_stop = F.greatest(F.col("stop") - 1, F.lit(0))  # the end itself counts among the word counts, dotted or not
-    word = asked.join(_word_contexts(_word_counts(rows)), "c").select("table", "id", "k", w_stop.alias("stop"), "go").filter(F.col("stop") + F.col("go") >= enough_word)
+    word = asked.join(_word_contexts(_word_counts(texts)), "c").select("table", "id", "k", w_stop.alias("stop"), "go").filter(F.col("stop") + F.col("go") >= enough_word)
     word = word.groupBy("table", "id").agg(F.max_by(F.log((F.col("stop") + 0.5) / (F.col("go") + 0.5)), "k").alias("word_odds"))
 
-    scored = ends.select("table", "id", "lang").distinct().join(line, ["table", "id"], "left").join(word, ["table", "id"], "left")
+    scored = ends.select("table", "id", "lang", "same").distinct().join(line, ["table", "id"], "left").join(word, ["table", "id"], "left")
     scored = cut_lineage(scored.withColumn("odds", F.least("line_odds", "word_odds")))
-    limits = F.broadcast(_thresholds(scored.withColumn("odds", F.col("line_odds"))))  # one row for each language and column
+    limits = F.broadcast(_thresholds(scored.dropDuplicates(["table", "lang", "same"]).withColumn("odds", F.col("line_odds"))))  # one row for each language and column
     out = scored.join(limits, (F.col("table") == F.col("of_table")) & (F.coalesce("lang", F.lit("")) == F.col("of_lang")), "left")
     # a name that ends in a rare way is no cut where all else says that the line ends here
     word_limit = F.when(F.col("line_odds") >= sure, -4.0).otherwise(F.least(F.col("limit") - 0.5, F.lit(-1.0)))

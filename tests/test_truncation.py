@@ -1,0 +1,24 @@
+import pytest
+
+from folioframe.llm import truncation
+
+THINGS = ["service", "prices", "opening hours", "staff", "parking", "website", "delivery", "returns", "advice", "waiting time"]
+PLACES = ["Northgate", "Southport", "Eastham", "Westbrook", "Longmoor", "Ashford", "Brackley", "Cranham", "Dunmere", "Elswick", "Farnley", "Grindon"]
+WHOLE = [f"How satisfied are you with the {t} of the shop in {p} today?" for t in THINGS for p in PLACES]
+
+
+def cut_ids(spark, texts, sources=1):
+    rows = [(k, t, f"s{k % sources}") for k, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "element_id int, label string, source string").selectExpr("*", "'en' as lang")
+    rows = truncation.values(df, table="partial_elements", key="element_id", text="label", lang="lang", source="source")
+    return {r.id for r in truncation.judge(rows).filter("cut").collect()}
+
+
+@pytest.mark.parametrize("cut, sources", [("How satisfied are you with the", 1), ("How satisfied are you with the serv", 1), ("How satisfied are you with the", 6)])
+def test_copies_of_a_cut_value_do_not_vouch_for_each_other(spark, cut, sources):
+    texts = WHOLE + [cut] * 120
+    assert cut_ids(spark, texts, sources) == set(range(len(WHOLE), len(texts)))
+
+
+def test_titles_of_many_sources_stay_whole(spark):
+    assert cut_ids(spark, WHOLE + ["Satisfaction with the service"] * 50, 6) == set()
