@@ -43,10 +43,14 @@ KEYS = r"(?:x{3,}|asdf\w*|qwer\w*|zxcv\w*|hjkl|jkl|tbd|tbc|todo|n/n)"
 LATIN_ROW = rf"(?i)(?:\b{LATIN}\b[\s.,;]+){{4}}"
 KEY_ROW = rf"(?i)(?:\b{KEYS}\b[\s.,;]+){{1,}}\b{KEYS}\b|(?:^|[\n|])[ \t]*{KEYS}[ \t.]*(?:$|[\n|])"
 SAME_ROW = r"\b(?<w>\w++)(?:\s++(?i:\k<w>)\b){4}"
-#: parts of words of which a text has one at least where the patterns above and below can match; looked up before them
-LATIN_PARTS = ("orem", "psum", "ibh", "elit", "rnare", "ectus", "ulpa", "liqua", "itae", "empor")
-KEY_PARTS = ("xxx", "XXX", "Xxx", "asdf", "Asdf", "qwer", "Qwer", "zxcv", "Zxcv", "jkl", "Jkl", "tbd", "TBD", "Tbd", "tbc", "TBC", "Tbc", "todo", "TODO", "n/n")
-SENTENCE_PARTS = ("laceholder", "PLACEHOLDER", "ample text", "ample para", "ample copy", "ummy", "iller text", "iller para", "iller copy", "goes here", "lindtext", "e relleno", "e exemplo", "factice", "ekst zast", "екст-", "rnek metin", "κείμενο δοκ", "ダミー")
+#: parts of which a text has one at least, once it is folded, where the patterns above and below can match; looked up before them
+LATIN_PARTS = ("lorem", "ipsum", "dolor", "amet", "nibh", "velit", "ornare", "tempor", "lectus", "culpa", "aliqua", "magna", "porta", "nulla", "vitae", "quis")
+LATIN_SHORT = r"s(?:it|ed)[\s.,;]+s(?:it|ed)[\s.,;]"
+KEY_PARTS = ("xxx", "asdf", "qwer", "zxcv", "jkl", "tbd", "tbc", "todo", "n/n")
+SENTENCE_PARTS = (
+    *(f"{a} {b}" for a in ("placeholder", "sample", "dummy", "filler") for b in ("paragraph", "text", "copy")),
+    *("text goes here", "blindtext", "texto de relleno", "texto de exemplo", "texte factice", "tekst zastępczy", "текст-заполнитель", "текст-рыба", "örnek metin", "κείμενο δοκιμής", "ダミーテキスト"),
+)
 FILLER_SENTENCE = (
     r"(?iu)\b(?:placeholder|sample|dummy|filler) (?:paragraph|text|copy)\b[^\n]{0,30}(?:\bgoes here|\breplace|\bto test|–|$)|\btext goes here\b|\bdummy copy\b"
     r"|\bblindtext\b|texto de relleno|texto de exemplo|texte factice|tekst zastępczy|текст-заполнитель|текст-рыба|örnek metin|κείμενο δοκιμής|ダミーテキスト"
@@ -103,7 +107,9 @@ NOTICE_PARTS = _parts(p for parts, _ in NOTICES for p in parts)
 
 
 def is_filler(t: Column) -> Column:
-    return (_has(t, LATIN_PARTS) & t.rlike(LATIN_ROW)) | (_has(t, KEY_PARTS) & t.rlike(KEY_ROW)) | t.rlike(SAME_ROW) | (_has(t, SENTENCE_PARTS) & t.rlike(FILLER_SENTENCE))
+    f = _folded(t)
+    latin = (_has(f, LATIN_PARTS) | f.rlike(LATIN_SHORT)) & t.rlike(LATIN_ROW)
+    return latin | (_has(f, KEY_PARTS) & t.rlike(KEY_ROW)) | t.rlike(SAME_ROW) | (_has(f, _parts(SENTENCE_PARTS)) & t.rlike(FILLER_SENTENCE))
 
 
 def blocks(text: Column) -> Column:

@@ -43,3 +43,24 @@ def test_parts_cover_their_pattern(spark, parts, pattern):
     df = spark.createDataFrame([(s,) for s in samples], "t string").filter(F.col("t").rlike("(?iu)" + pattern))
     assert df.count() > 0
     assert df.filter(~(residue._has(line, residue._parts(parts)) | F.col("t").rlike(residue.FRAME))).collect() == []
+
+
+FILLERS = [
+    "LOREM IPSUM DOLOR SIT AMET, ",
+    "magna nulla porta quis sed ",
+    "Sed sit sed sit. ",
+    "ASDF ASDF",
+    "QWERTY QWERTY",
+    "Todo Todo",
+    "Comment\nN/N\nend",
+    "Sample Text – of the second page",
+    "Filler Text – of the second page",
+    "Use of DUMMY COPY here",
+    "BLINDTEXT",
+    "TEXTO DE RELLENO",
+    "ÖRNEK METİN",
+]
+
+
+def test_filler_in_capitals_and_title_case(spark):
+    assert found(spark, FILLERS + PLAIN) == set(range(len(FILLERS)))
