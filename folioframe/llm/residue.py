@@ -112,15 +112,32 @@ def is_filler(t: Column) -> Column:
     return latin | (_has(f, KEY_PARTS) & t.rlike(KEY_ROW)) | t.rlike(SAME_ROW) | (_has(f, _parts(SENTENCE_PARTS)) & t.rlike(FILLER_SENTENCE))
 
 
+#: marks of headings, quotes, list entries and stress before a line
+MARKS = r"(?:#+|>+|[*-]+)[ \t]*"
+# Code lists (rows of several cells, entries that follow each other), the converter's own marks, lines of an interview.
+TABLE = r"^\s*\|[^|\n]*[^|\s][^|\n]*\|[^|\n]*[^|\s]|(?m)^[ \t]*[*-][ \t][^\n]*\n[ \t]*[*-][ \t]"
+MARK = r"^\s*(?:\\|<!--)"
+SPEAKER = r"^[\s#>*-]*+(?!(?i:notice|warning|alert|error|\w*exception):)\p{L}+:"
+#: characters of a window on a long block, which begin half of it apart
+WINDOW = 600
+
+
+def _windows(b: Column) -> Column:
+    """A block, or the overlapping windows of a long one and its lines, so that all of it is judged."""
+    line = F.trim(F.regexp_replace(b, r"\s+", " "))
+    at = F.sequence(F.lit(1), F.length(line), F.lit(WINDOW // 2))
+    parts = F.concat(F.transform(at, lambda i: F.substring(line, i, F.lit(WINDOW))), F.transform(F.filter(F.split(b, r"\n"), lambda x: F.length(x) <= WINDOW), F.trim))
+    return F.when(F.length(line) <= WINDOW, F.array(line)).otherwise(parts)
+
+
 def blocks(text: Column) -> Column:
-    """The paragraphs that could be a notice, white space collapsed; line ends of all styles.
+    """The paragraphs that could be a notice, of any length, white space collapsed; line ends of all styles.
 
-    Those are short, and no table row, heading, list entry or line of an interview.
+    Those are no code list, converter's mark or line of an interview; the marks of headings, quotes and entries are taken off.
     """
-    raw = F.split(F.replace(text, F.lit("\r\n"), F.lit("\n")), r"\n\s*\n")
-    own = r"(?i)^\s*(?:java\.|warning:|(?:fatal )?error:|\w*exception:)"
-    plain = lambda b: F.length(b).between(3, 600) & (~b.rlike(r"^\s*(?:[#|*\\>-]|<!--|\p{L}+:)") | b.rlike(own))
-    return F.transform(F.filter(raw, plain), lambda b: F.trim(F.regexp_replace(b, r"\s+", " ")))
+    raw = F.split(F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n")), r"\n\s*\n")
+    kept = F.filter(raw, lambda b: (F.length(b) >= 3) & ~b.rlike(TABLE) & ~b.rlike(MARK) & ~b.rlike(SPEAKER))
+    return F.flatten(F.transform(kept, lambda b: _windows(F.regexp_replace(b, r"(?m)^[ \t]*(?:\|[ \t]*|" + MARKS + ")", ""))))
 
 
 def subject_blocks(text: Column) -> Column:
@@ -135,7 +152,7 @@ def _notice(b: Column) -> Column:
 def has_notice(text: Column) -> Column:
     """Whether a block reads as a notice; texts without any part of one aren't split."""
     # the blocks of a text, collapsed, stand in the text collapsed
-    line = _folded(F.regexp_replace(text, r"\s{2,}|[\t\n\x0b\f\r]", " "))
+    line = _folded(F.regexp_replace(text, rf"[\n\r]\s*{MARKS}|\s{{2,}}|[\t\n\x0b\f\r]", " "))
     return F.when(_has(line, NOTICE_PARTS) | text.rlike(FRAME), F.exists(blocks(text), _notice)).otherwise(False)
 
 

@@ -64,3 +64,28 @@ FILLERS = [
 
 def test_filler_in_capitals_and_title_case(spark):
     assert found(spark, FILLERS + PLAIN) == set(range(len(FILLERS)))
+
+
+FRAMES = "\n".join(f"  at com.acme.forms.Loader{k}.load(Loader{k}.java:{k})" for k in range(40))
+BLOCKS = [
+    "java.lang.IllegalStateException: no form\n" + FRAMES,
+    "<html><head><style>" + "p { margin: 0 } " * 60 + "</style></head><body>Access denied</body></html>",
+    "First part.\r\rPage not found\r\rLast part.",
+    "# 404 Not Found",
+    "> Access\n> denied",
+    "- Access denied",
+    "**404 Not Found**",
+    "Notice: page not found",
+    "First part.\n\n Warning: undefined variable $section on line 93\nFatal error: call on null",
+]
+TALKED = [
+    "| 1 | Page not found |\n| 2 | Access denied |",
+    "- Page not found\n- Access denied\n- None of these",
+    "Respondent: access denied, that is all I saw.",
+    "<!-- access denied -->",
+    "The visit was short. " * 60,
+]
+
+
+def test_blocks_of_any_length_and_mark(spark):
+    assert found(spark, BLOCKS + TALKED) == set(range(len(BLOCKS)))
