@@ -48,13 +48,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_run_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or one of our own where it is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="folioframe-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """This run's own folder inside ``spark.checkpoint.dir``, deleted when the application ends.
+
+    Where that setting is unset, only a local session gets a temporary folder of
+    its own; on a cluster, whose machines don't share one, it is an error.
+    """
+    application = spark.sparkContext.applicationId
+    if application not in _run_folders:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="folioframe-")
+            spark.conf.set("spark.checkpoint.dir", folder)
+        run = f"{folder.rstrip('/')}/folioframe-{application}-{uuid.uuid4().hex[:8]}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(run)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _run_folders[application] = run
+    return _run_folders[application]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -64,6 +81,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     since the files are not tied to it.
     """
     spark = df.sparkSession
-    where = f"{shared_folder(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    where = f"{shared_folder(spark)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(where)
     return spark.read.schema(df.schema).parquet(where)
