@@ -8,15 +8,20 @@ the number of different words. The text never leaves its row: no shuffle.
 
 Defined results: an empty list for null and for empty text; the strings of
 special tokens are ordinary text; one row out for every row in, copies included;
-no length limit (a word of ``long_word`` bytes or more, where pair-at-a-time
-contraction would take as many rounds as bytes, goes through the same merge
-table with a heap).
+no length limit: all words go through the same contraction, whatever their length.
+
+In a round every pair is contracted that has the minimum rank within the reach of
+the longest token, ties from the left. That is the outcome of contracting pairs
+one by one wherever every token of the vocabulary is what contraction makes of its
+own bytes, as training gives it (:func:`is_trained` tells): then no contraction can
+give rise to a pair of a lower rank, since the bytes of that pair would have met
+before, and no pair can be reached by what lies farther off than a token is long.
+So the rounds don't grow with the length of a word.
 """
 
 from __future__ import annotations
 
 import base64
-import heapq
 import importlib.util
 import os
 from collections.abc import Iterator
@@ -28,17 +33,25 @@ from pyspark.sql import functions as F
 #: Fixed value: the pattern that splits text before the merges of the 50k byte-level vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: In a round, of every word that still has a pair, all pairs are contracted that have the minimum rank
+#: among the pairs within the length of the longest token on both sides; of overlapping ones (a run of one
+#: token) every second from the run's beginning, once all of the run up to there has that minimum.
 _CONTRACT = """
 with recursive step(word, pos, token, n) as (
     select word, pos, token, 0 from fresh
   union all
-    select word, pos, case when pos = best & 65535 then merged else token end, n + 1
-    from (select *, min(rank * 65536 + pos) over (partition by word) as best
-          from (select p.word, p.pos, p.token, p.n, p.left_pos, m.rank, m.merged
-                from (select *, lead(token) over w as right_token, lag(pos) over w as left_pos
-                      from step window w as (partition by word order by pos)) p
-                left join merges m on m.pair = p.token * 65536::bigint + p.right_token))
-    where best is not null and (left_pos is null or left_pos <> best & 65535))
+    select word, pos, case when taken then merged else token end, n + 1
+    from (select *, lag(taken) over (partition by word order by pos) as eaten
+          from (select *, rank = best and begun > coalesce(max(case when rank is null or rank <> best then nr end) over (partition by word order by pos), 0) and (nr - begun) % 2 = 0 as taken
+                from (select *, max(case when rank is distinct from before then nr end) over (partition by word order by pos) as begun
+                      from (select *, lag(rank) over (partition by word order by pos) as before, count(rank) over (partition by word) as pairs,
+                                   min(rank) over (partition by word {frame}) as best
+                            from (select p.word, p.pos, p.token, p.n, p.nr, m.rank, m.merged
+                                  from (select *, lead(token) over w as right_token, row_number() over w as nr
+                                        from step window w as (partition by word order by pos)) p
+                                  left join merges m on m.pair = p.token * 65536::bigint + p.right_token))
+                      where pairs > 0)))
+    where eaten is not true)
 select word, list(token order by pos) as ids
 from (select s.word, s.pos, s.token from step s
       join (select word, max(n) as n from step group by word) using (word, n))
@@ -54,6 +67,18 @@ def default_vocabulary(name: str = "byte_bpe_50k") -> str:
     return os.path.join(folder, f"{name}.tiktoken")
 
 
+def is_trained(ranks: dict[bytes, int]) -> bool:
+    """Whether contraction by lower ranks makes two tokens of every token's bytes, so that the last one gives the token."""
+    for token, rank in ranks.items():
+        parts = [token[i : i + 1] for i in range(len(token))]
+        while len(parts) > 2:
+            r, i = min((ranks.get(x + y, rank), i) for i, (x, y) in enumerate(zip(parts, parts[1:])))
+            if r >= rank:
+                return False
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+    return True
+
+
 class Encoder:
     """Words to ids by merge rows in DuckDB; one per Python worker and vocabulary."""
 
@@ -65,15 +90,16 @@ class Encoder:
             cls._kept[path] = cls(path, cache_words)
         return cls._kept[path]
 
-    def __init__(self, path: str, cache_words: int = 1_000_000, long_word: int = 64) -> None:
+    def __init__(self, path: str, cache_words: int = 1_000_000) -> None:
         import regex
 
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
+        self.reach = max(map(len, self.ranks))
         self.byte_id = [self.ranks[bytes([i])] for i in range(256)]
         self.find = regex.compile(PATTERN).findall
         self.cache: dict[str, list[int]] = {}
-        self.cache_words, self.long_word = cache_words, long_word
+        self.cache_words = cache_words
         self.db = None
 
     def _merges(self) -> pa.Table:
@@ -96,28 +122,6 @@ class Encoder:
             self.db.execute("create table merges as select * from merge_rows")
         return self.db
 
-    def _heap(self, word: bytes) -> list[int]:
-        """The same contraction for one very long word, in n log n."""
-        ids = [self.byte_id[c] for c in word]
-        n = len(ids)
-        ranks, part = self.ranks, [bytes([c]) for c in word]
-        nxt, prv, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
-        heap = [(r, i, part[i], part[i + 1]) for i in range(n - 1) if (r := ranks.get(part[i] + part[i + 1])) is not None]
-        heapq.heapify(heap)
-        while heap:
-            r, i, x, y = heapq.heappop(heap)
-            if not alive[i] or part[i] != x or (j := nxt[i]) >= n or part[j] != y:
-                continue
-            part[i], ids[i], alive[j] = x + y, r, False
-            nxt[i] = nxt[j]
-            if nxt[j] < n:
-                prv[nxt[j]] = i
-                if (r := ranks.get(part[i] + part[nxt[i]])) is not None:
-                    heapq.heappush(heap, (r, i, part[i], part[nxt[i]]))
-            if (k := prv[i]) >= 0 and (r := ranks.get(part[k] + part[i])) is not None:
-                heapq.heappush(heap, (r, k, part[k], part[i]))
-        return [t for t, a in zip(ids, alive) if a]
-
     def learn(self, words: list[str]) -> None:
         """Encode the words and keep them."""
         ranks, cache, rows = self.ranks, self.cache, []
@@ -125,14 +129,15 @@ class Encoder:
             b = w.encode("utf-8", "surrogatepass")
             if (t := ranks.get(b)) is not None:  # the last contraction of a whole token gives that token
                 cache[w] = [t]
-            elif len(b) >= self.long_word:
-                cache[w] = self._heap(b)
             else:
                 rows.append((w, b))
-        for at in range(0, len(rows), 50_000):
-            self._contract(rows[at : at + 50_000])
+        # within a word no longer than the reach the frame is the whole word
+        near = f"order by pos range between {self.reach} preceding and {self.reach} following"
+        for frame, part in (("", [r for r in rows if len(r[1]) <= self.reach]), (near, [r for r in rows if len(r[1]) > self.reach])):
+            for at in range(0, len(part), 50_000):
+                self._contract(part[at : at + 50_000], frame)
 
-    def _contract(self, rows: list[tuple[str, bytes]]) -> None:
+    def _contract(self, rows: list[tuple[str, bytes]], frame: str) -> None:
         import numpy as np
 
         db = self._connect()
@@ -141,7 +146,7 @@ class Encoder:
         word = np.repeat(np.arange(len(rows), dtype=np.int32), lengths)
         pos = (np.arange(len(ids)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int64)
         db.register("fresh", pa.table({"word": word, "pos": pos, "token": ids}))
-        got = db.sql(_CONTRACT).to_arrow_table()
+        got = db.sql(_CONTRACT.format(frame=frame)).to_arrow_table()
         db.unregister("fresh")
         for k, tokens in zip(got.column("word").to_pylist(), got.column("ids").to_pylist()):
             self.cache[rows[k][0]] = tokens
@@ -181,18 +186,19 @@ def encode_texts(df: DataFrame, *, key: str = "doc_id", text: str = "text", voca
 
 
 def decode_ids(df: DataFrame, *, key: str = "doc_id", ids: str = "ids", vocabulary: str | None = None) -> DataFrame:
-    """(key, text) from ids: token rows join the vocabulary, an ordered aggregation puts the bytes together."""
+    """(key, text) from ids: token rows join the vocabulary, an ordered aggregation puts the bytes together.
+
+    Null and empty lists give an empty text.
+    """
     path = vocabulary or default_vocabulary()
-    with open(path, "rb") as f:
-        words = pa.table(
-            dict(zip(("id", "bytes"), zip(*((int(b), base64.b64decode(a)) for a, b in (line.split() for line in f if line.strip())))))
-        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import duckdb
 
         db = duckdb.connect(config={"threads": 1})
-        db.register("words", words)
+        with open(path, "rb") as f:
+            pairs = [(int(b), base64.b64decode(a)) for a, b in (line.split() for line in f if line.strip())]
+        db.register("words", pa.table({"id": [i for i, _ in pairs], "bytes": [w for _, w in pairs]}))
         for batch in batches:
             db.register("coded", pa.Table.from_batches([pa.RecordBatch.from_arrays([pa.array(range(batch.num_rows), pa.int64()), batch.column(1)], names=["n", "ids"])]))
             got = db.execute(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from folioframe.llm import bpe_encode, leakage, lookalike, mojibake, near_duplicates, residue, split_oversized, truncation
 from folioframe.session import table
@@ -82,6 +83,12 @@ def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return bpe_encode.encode_texts(table(spark, d, "documents"))
 
 
+def p7_decoded(spark: SparkSession, d: str) -> DataFrame:
+    """A digest of the text that the ids of each document give back."""
+    decoded = bpe_encode.decode_ids(p7_ids(spark, d))
+    return decoded.select("doc_id", F.md5("text").alias("digest"))
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return leakage.find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "item_id")
 
@@ -99,7 +106,7 @@ def p9_clean_corpus(spark: SparkSession, d: str) -> DataFrame:
     return residue.without_residue(docs, residue.find_residue(docs)).select("doc_id", "source", "doc_kind")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_groups, p4_found, p4_rates, p5_found, p5_pieces, p6_found, p6_canonical, p7_ids, p8_found, p8_leaked_items, p9_found, p9_clean_corpus)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_groups, p4_found, p4_rates, p5_found, p5_pieces, p6_found, p6_canonical, p7_ids, p7_decoded, p8_found, p8_leaked_items, p9_found, p9_clean_corpus)}
 
 _P8 = """
 with w as (select item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') as ws from eval_items),
@@ -128,4 +135,6 @@ select distinct source_table, record_id, chunk_no from items left join split_pro
 where length(text) > coalesce(max_chars, (select max_chars from d))
 """
 
-SQL = {"p2_found": _P2, "p5_found": _P5, "p8_found": _P8}
+_P7 = "select doc_id, md5(coalesce(text, '')) as digest from documents"
+
+SQL = {"p2_found": _P2, "p5_found": _P5, "p7_decoded": _P7, "p8_found": _P8}
