@@ -61,6 +61,11 @@ def p5_pieces(spark: SparkSession, d: str) -> DataFrame:
     return split_oversized.split_items(_items(spark, d), _ITEM)
 
 
+def p5_rebuilt(spark: SparkSession, d: str) -> DataFrame:
+    """A digest of each item put together again from its pieces."""
+    return split_oversized.rebuilt(p5_pieces(spark, d), _ITEM).select(*_ITEM, F.md5("text").alias("digest"))
+
+
 def _canonical(spark: SparkSession, d: str) -> DataFrame:
     elements, sections = table(spark, d, "partial_elements"), table(spark, d, "partial_sections")
     fitted = mojibake.learn(elements, columns=["label"])
@@ -106,7 +111,7 @@ def p9_clean_corpus(spark: SparkSession, d: str) -> DataFrame:
     return residue.without_residue(docs, residue.find_residue(docs)).select("doc_id", "source", "doc_kind")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_groups, p4_found, p4_rates, p5_found, p5_pieces, p6_found, p6_canonical, p7_ids, p7_decoded, p8_found, p8_leaked_items, p9_found, p9_clean_corpus)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_groups, p4_found, p4_rates, p5_found, p5_pieces, p5_rebuilt, p6_found, p6_canonical, p7_ids, p7_decoded, p8_found, p8_leaked_items, p9_found, p9_clean_corpus)}
 
 _P8 = """
 with w as (select item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') as ws from eval_items),
@@ -135,6 +140,13 @@ select distinct source_table, record_id, chunk_no from items left join split_pro
 where length(text) > coalesce(max_chars, (select max_chars from d))
 """
 
+_P5_TEXTS = """
+select source_table, record_id, chunk_no, md5(any_value(text)) as digest from (
+    select 'conversion_results' as source_table, conversion_id as record_id, cast(0 as bigint) as chunk_no, markdown_content as text from conversion_results
+    union all select 'split_results', split_id, cast(generate_subscripts(chunks, 1) - 1 as bigint), unnest(chunks) from split_results)
+where length(text) > 0 group by 1, 2, 3
+"""
+
 _P7 = "select doc_id, md5(coalesce(text, '')) as digest from documents"
 
-SQL = {"p2_found": _P2, "p5_found": _P5, "p7_decoded": _P7, "p8_found": _P8}
+SQL = {"p2_found": _P2, "p5_found": _P5, "p5_rebuilt": _P5_TEXTS, "p7_decoded": _P7, "p8_found": _P8}

@@ -9,14 +9,20 @@ offsets. Texts in tables are cut into ranges of characters in their own row;
 files into ranges of bytes, read by seeking, so that a giant file is spread over
 all workers and never loaded whole.
 
-Boundaries, strongest first: a delimiter line or the place before a heading, a
-blank line, a line end, a sentence end, a white space. A piece ends at the
-strongest boundary in its second half, the last of equals; without one at the
-last boundary before; without any it is cut at the limit, though not within a
-letter and its accents. The next piece begins ``overlap`` characters before that end.
-
-Only the strongest boundary of each eighth of a piece is kept, so that the
-boundary table is small against the text (about eight rows for each piece).
+A boundary is the end of a run of white space, or a place after a closing mark of
+scripts that write no spaces. Its strength comes from what stands there, strongest
+first: before a heading or after a delimiter line, a blank line, a line end, a
+sentence end, other white space. To tell it, no more than ``REACH`` characters
+before and ``AHEAD`` after the place are looked at, less than a halo holds, so that
+the boundaries are the same however a text is divided into ranges. A piece ends at
+the strongest boundary in its second half, the last of equals; without one at the
+last boundary before; without any at the last place that doesn't part a letter from
+its accents. The next piece begins ``overlap`` characters before that end.
+
+Only the strongest boundary of each eighth of a piece is kept (without one, the last
+place between whole letters), so that the boundary table is small against the text,
+about eight rows for each piece. A piece is emitted by the range it begins in, whose
+halo to the right is as long as a piece; no text is put together as a whole.
 
 Defined results: null and empty items give no piece, items within the limit one;
 an overlap of half the limit or more counts as half the limit less one; a limit
@@ -31,66 +37,98 @@ import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 RANGE = 1 << 14
 HALO = 256
-#: boundary patterns by strength; a cut comes at the end of the match
-BOUNDARIES = (
-    (5, re.compile(r"\n[ \t]*(?:\\?\*){3,}[ \t]*(?:\n|$)|\n(?=#{1,6} )")),
-    (4, re.compile(r"\n[ \t\r]*\n\s*")),
-    (3, re.compile(r"\r\n|\n|\r(?!\n)")),
-    (2, re.compile(r"(?<=[.?!…;。！？])[\"”’»)]*[ \t ]+|(?<=[。！？])")),
-    (1, re.compile(r"[ \t　]+")),
-)
-
-
-def profile_rows(items: DataFrame, profiles: DataFrame, *, profile: str = "profile_name", most: int = 10_000) -> DataFrame:
-    """The items with max_chars and overlap_chars of their profile; null and unknown names get the default's."""
-    rows = profiles.select("profile_name", "max_chars", "overlap_chars", F.coalesce("is_default", F.lit(False)).alias("d")).limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"more than {most} profiles")
-    default = next((r for r in rows if r.d), rows[0] if rows else None)
+#: characters before and after a place that its strength depends on
+REACH, AHEAD = 200, 8
+_PLACE = re.compile(r"([.?!…;。！？][\"”’»)]{0,3})?(\s{1,100})(?!\s)|(?<=[。！？])(?![\s。！？])")
+_HEADING = re.compile(r"#{1,6} ")
+_DELIMITER = re.compile(r"(?:^|[\n\r])[ \t]*(?:\\?\*){3,}\Z")
+_LINE_END = re.compile(r"\r\n|\n|\r")
+
+
+def profile_rows(items: DataFrame, profiles: DataFrame, *, profile: str = "profile_name") -> DataFrame:
+    """The items with max_chars and overlap_chars of their profile; null and unknown names get the default's.
+
+    Profiles are joined as a table, however many there are; of several defaults
+    the first by name counts.
+    """
+    rows = profiles.select(F.col("profile_name").alias("p"), F.col("max_chars").alias("m"), F.col("overlap_chars").alias("o"), F.coalesce("is_default", F.lit(False)).alias("d"))
+    default = rows.orderBy(F.desc("d"), "p").first()
     if default is None:
         raise ValueError("no profile")
-    known = items.sparkSession.createDataFrame([(r.profile_name, r.max_chars, r.overlap_chars) for r in rows if r.profile_name is not None] or [("", default.max_chars, default.overlap_chars)], "p string, m int, o int")
-    out = items.join(F.broadcast(known), F.col(profile) == F.col("p"), "left")
-    return out.withColumn("max_chars", F.greatest(F.coalesce("m", F.lit(default.max_chars)), F.lit(2))).withColumn("overlap_chars", F.coalesce("o", F.lit(default.overlap_chars))).drop("p", "m", "o")
+    out = items.join(rows.filter("p is not null").dropDuplicates(["p"]).drop("d"), F.col(profile) == F.col("p"), "left")
+    return out.withColumn("max_chars", F.greatest(F.coalesce("m", F.lit(default.m)), F.lit(2))).withColumn("overlap_chars", F.coalesce("o", F.lit(default.o))).drop("p", "m", "o")
 
 
-def ranges(items: DataFrame, *, text: str = "text", size: int = RANGE, halo: int = HALO) -> DataFrame:
-    """A row for each range of each item: ``range_no``, ``range_start``, ``chars``, ``left`` (length of the halo before) and ``part``."""
+def _wide(size: int) -> Column:
+    """Characters of a range: whole eighths of a piece, so that thinning needs one range only."""
     step = F.greatest(F.floor(F.col("max_chars") / 8), F.lit(1)).cast("int")
-    wide = F.ceil(F.lit(size) / step).cast("int") * step  # ranges hold whole eighths, so that thinning needs one range only
-    rows = items.filter(F.length(text) > 0).withColumn("wide", wide)
-    rows = rows.withColumn("range_no", F.explode(F.sequence(F.lit(0), ((F.length(text) - 1) / F.col("wide")).cast("int"))))
-    start = F.col("range_no") * F.col("wide")
-    left = F.least(F.lit(halo), start)
-    part = F.substring(F.col(text), start - left + 1, F.col("wide") + left + halo)
-    return rows.withColumn("range_start", start).withColumn("left", left).withColumn("part", part).withColumn("chars", F.least(F.col("wide"), F.length(text) - start)).drop(text, "wide")
+    return F.ceil(F.lit(size) / step).cast("int") * step
 
 
-def item_lengths(parts: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, max_chars, overlap_chars, chars): the lengths of the items, added up over their ranges."""
-    return parts.groupBy(*keys, "max_chars", "overlap_chars").agg(F.sum("chars").cast("bigint").alias("chars"))
+def ranges(items: DataFrame, *, text: str = "text", size: int = RANGE, halo: int = HALO) -> DataFrame:
+    """A row for each range of each item: ``range_no``, ``range_start``, ``chars``, ``left`` (length of the halo before) and ``part``.
+
+    The halo after is as long as a piece, so that a range holds the pieces that begin in it.
+    """
+    rows = items.filter(F.length(text) > 0).withColumn("wide", _wide(size))
+    cut = F.transform(
+        F.sequence(F.lit(0), ((F.length(text) - 1) / F.col("wide")).cast("int")),
+        lambda n: F.struct(
+            n.alias("range_no"),
+            (n * F.col("wide")).alias("range_start"),
+            F.least(F.lit(halo), n * F.col("wide")).alias("left"),
+            F.substring(F.col(text), n * F.col("wide") - F.least(F.lit(halo), n * F.col("wide")) + 1, F.col("wide") + F.least(F.lit(halo), n * F.col("wide")) + F.greatest(F.col("max_chars"), F.lit(halo))).alias("part"),
+            F.least(F.col("wide"), F.length(text) - n * F.col("wide")).alias("chars"),
+        ),
+    )
+    return rows.select(*[c for c in items.columns if c != text], F.inline(cut))
+
+
+def strength_at(part: str, m: re.Match) -> int:
+    """The strength of the boundary that a match of ``_PLACE`` ends at."""
+    white = m[2]
+    if white is None:
+        return 2
+    lines = len(_LINE_END.findall(white))
+    if lines:
+        if _HEADING.match(part, m.end()):
+            return 5
+        if m.start(2) and part[m.start(2) - 1] == "*" and _DELIMITER.search(part, max(0, m.start(2) - 90), m.start(2)):
+            return 5
+        return 4 if lines > 1 else 3
+    return 2 if m[1] else 1
 
 
 def find_boundaries(part: str, left: int, chars: int, step: int) -> list[tuple[int, int]]:
-    """(place in the range, strength) of the strongest boundary of each ``step`` characters, the last of equals."""
+    """(place in the range, strength) of the strongest boundary of each ``step`` characters, the last of equals; 0 for a place between letters."""
     best: dict[int, tuple[int, int]] = {}
-    for strength, pattern in BOUNDARIES:
-        for m in pattern.finditer(part):
-            at = m.end() - left
-            if strength == 5 and part[m.start()] == "\n" and not m[0].strip():
-                at = m.start() + 1 - left  # before the heading
-            if 0 < at <= chars:
-                slot = (at - 1) // step
-                if slot not in best or (strength, at) > best[slot]:
-                    best[slot] = (strength, at)
+    for m in _PLACE.finditer(part, 0, min(len(part), left + chars + REACH + AHEAD)):
+        at = m.end() - left
+        if 0 < at <= chars:
+            slot, found = (at - 1) // step, (strength_at(part, m), at)
+            if slot not in best or found > best[slot]:
+                best[slot] = found
+    for slot in range((chars + step - 1) // step):
+        if slot not in best:
+            end = min((slot + 1) * step, chars)
+            at = safe_cut(part, left + end) - left
+            if at > slot * step:
+                best[slot] = (0, at)
     return sorted((at, s) for s, at in best.values())
 
 
+def safe_cut(text: str, at: int) -> int:
+    """The nearest place at or before ``at`` that doesn't part a letter from its accents, a joined sign or a line end."""
+    while 0 < at < len(text) and (unicodedata.combining(text[at]) or text[at] in "\u200d\ufe0f" or text[at - 1] == "\u200d" or text[at - 1 : at + 1] == "\r\n"):
+        at -= 1
+    return at
+
+
 class Cutter:
     """One item's cuts, from its boundaries in order. ``feed`` gives the ends that are settled by then."""
 
@@ -102,11 +140,12 @@ class Cutter:
     def _cut(self) -> tuple[int, int, int]:
         s, limit = self.start, self.start + self.most
         inside = [(a, g) for a, g in self.seen if s + self.overlap < a <= limit]
-        late = [(g, a) for a, g in inside if a > s + self.most // 2]
+        natural = [(a, g) for a, g in inside if g]
+        late = [(g, a) for a, g in natural if a > s + self.most // 2]
         if late:
             g, end = max(late)
-        elif inside:
-            end, g = inside[-1]
+        elif natural or inside:
+            end, g = (natural or inside)[-1]
         else:
             end, g = limit, 0
         self.start = end - self.overlap
@@ -129,7 +168,7 @@ class Cutter:
 
 
 def _boundary_rows(parts: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, max_chars, overlap_chars, range_start, chars, at, strength); every range has a row with strength 0 for its length."""
+    """(keys, max_chars, overlap_chars, range_start, chars, at, strength); every range has a row with strength -1 for its length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -137,7 +176,7 @@ def _boundary_rows(parts: DataFrame, keys: list[str]) -> DataFrame:
             most, start, chars, left, text = (b.column(n + k).to_pylist() for k in (0, 2, 3, 4, 5))
             rows, at, strength = [], [], []
             for i, t in enumerate(text):
-                found = [(0, 0), *find_boundaries(t, left[i], chars[i], max(most[i] // 8, 1))]
+                found = [(0, -1), *find_boundaries(t, left[i], chars[i], max(most[i] // 8, 1))]
                 rows += [i] * len(found)
                 at += [start[i] + a for a, _ in found]
                 strength += [s for _, s in found]
@@ -149,7 +188,7 @@ def _boundary_rows(parts: DataFrame, keys: list[str]) -> DataFrame:
     return source.mapInArrow(run, f"{head}, at bigint, strength int")
 
 
-def piece_offsets(parts: DataFrame, keys: list[str]) -> DataFrame:
+def piece_offsets(parts: DataFrame, keys: list[str], *, with_limit: bool = False) -> DataFrame:
     """(keys, piece_no, piece_start, piece_chars, boundary): the pieces of the items by their offsets.
 
     ``boundary`` is the strength of the boundary at the piece's end, 0 for a cut
@@ -157,9 +196,8 @@ def piece_offsets(parts: DataFrame, keys: list[str]) -> DataFrame:
     one task, one after another, without any text.
     """
     rows = _boundary_rows(parts, keys)
-    lengths = item_lengths(parts, keys).select(*keys, F.col("chars").alias("total"))
-    joined = rows.join(lengths, keys)
-    ordered = joined.repartition(*keys).sortWithinPartitions(*keys, "at", "strength")
+    total = F.sum(F.when(F.col("strength") < 0, F.col("chars"))).over(Window.partitionBy(*keys))  # one row a range
+    ordered = rows.withColumn("total", total).sortWithinPartitions(*keys, "at", "strength")
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ordered.schema.fields if f.name in keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,19 +208,20 @@ def piece_offsets(parts: DataFrame, keys: list[str]) -> DataFrame:
             for *key, most, overlap, at, strength, total in zip(*cols):
                 if key != current:
                     if cutter:
-                        out += _numbered(current, number, cutter.close())
+                        out += _numbered([*current, cutter.most], number, cutter.close())
                     current, cutter, number = key, Cutter(total, most, overlap), 0
-                if strength:
+                if strength >= 0:
                     pieces = cutter.feed(at, strength)
-                    out += _numbered(current, number, pieces)
+                    out += _numbered([*current, cutter.most], number, pieces)
                     number += len(pieces)
             if out:
                 yield _pieces(out, b.schema, keys)
             schema = b.schema
         if cutter:
-            yield _pieces(_numbered(current, number, cutter.close()), schema, keys)
+            yield _pieces(_numbered([*current, cutter.most], number, cutter.close()), schema, keys)
 
-    return ordered.mapInArrow(run, f"{kinds}, piece_no bigint, piece_start bigint, piece_chars bigint, boundary int")
+    out = ordered.mapInArrow(run, f"{kinds}, max_chars bigint, piece_no bigint, piece_start bigint, piece_chars bigint, boundary int")
+    return out if with_limit else out.drop("max_chars")
 
 
 def _numbered(key: list, number: int, pieces: list[tuple[int, int, int]]) -> list[list]:
@@ -191,22 +230,32 @@ def _numbered(key: list, number: int, pieces: list[tuple[int, int, int]]) -> lis
 
 def _pieces(rows: list[list], schema: pa.Schema, keys: list[str]) -> pa.RecordBatch:
     cols = list(zip(*rows))
-    types = [*(schema.field(k).type for k in keys), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=[*keys, "piece_no", "piece_start", "piece_chars", "boundary"])
+    types = [*(schema.field(k).type for k in keys), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=[*keys, "max_chars", "piece_no", "piece_start", "piece_chars", "boundary"])
 
 
 def split_items(items: DataFrame, keys: list[str], *, text: str = "text", size: int = RANGE, halo: int = HALO) -> DataFrame:
-    """(keys, piece_no, piece_start, piece_chars, boundary, piece) of items with max_chars and overlap_chars."""
-    offsets = piece_offsets(ranges(items, text=text, size=size, halo=halo), keys)
-    whole = offsets.join(items.select(*keys, F.col(text).alias("whole")), keys)
-    return whole.select(*offsets.columns, F.substring("whole", F.col("piece_start").cast("int") + 1, F.col("piece_chars").cast("int")).alias("piece"))
+    """(keys, piece_no, piece_start, piece_chars, boundary, piece) of items with max_chars and overlap_chars.
+
+    Every piece is cut out of the range it begins in.
+    """
+    parts = ranges(items, text=text, size=size, halo=halo)
+    offsets = piece_offsets(parts, keys, with_limit=True)
+    placed = offsets.withColumn("of_range", F.floor(F.col("piece_start") / _wide(size)).cast("int")).drop("max_chars")
+    held = parts.select(*[F.col(k).alias(f"of_{k}") for k in keys], "range_no", "range_start", "left", "part")
+    on = F.col("of_range") == F.col("range_no")
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"of_{k}"))
+    start = (F.col("piece_start") - F.col("range_start") + F.col("left") + 1).cast("int")
+    columns = [c for c in offsets.columns if c != "max_chars"]
+    return placed.join(held, on).select(*columns, F.substring("part", start, F.col("piece_chars").cast("int")).alias("piece"))
 
 
-def safe_cut(text: str, at: int) -> int:
-    """The nearest place at or before ``at`` that doesn't part a letter from its accents or a joined sign."""
-    while 0 < at < len(text) and (unicodedata.combining(text[at]) or text[at] in "‍️" or text[at - 1] == "‍"):
-        at -= 1
-    return at
+def rebuilt(pieces: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, text): the items put together again from their pieces, without what two pieces share."""
+    ordered = F.array_sort(F.collect_list(F.struct("piece_no", "piece_start", "piece")))
+    bits = F.transform(ordered, lambda x, i: F.when(i == 0, x["piece"]).otherwise(F.substring(x["piece"], (F.get(ordered, i - 1)["piece_start"] + F.length(F.get(ordered, i - 1)["piece"]) - x["piece_start"] + 1).cast("int"), F.length(x["piece"]))))
+    return pieces.groupBy(*keys).agg(F.array_join(bits, "").alias("text"))
 
 
 # ---- giant files, by ranges of bytes ----
@@ -259,8 +308,6 @@ def split_files(spark: SparkSession, path: str, *, max_chars: int, overlap_chars
     their prefix sums place the boundaries that a second pass finds, and a third
     emits the pieces of each range by seeking to it.
     """
-    from pyspark.sql import Window
-
     where = file_ranges(spark, path, size=size, max_chars=max_chars, overlap_chars=overlap_chars)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,8 +349,10 @@ def split_files(spark: SparkSession, path: str, *, max_chars: int, overlap_chars
 
 
 def oversized_items(parts: DataFrame, keys: list[str]) -> DataFrame:
-    """The items longer than their limit."""
-    return item_lengths(parts, keys).filter(F.col("chars") > F.col("max_chars"))
+    """The items that come out in several pieces; that they are longer than their limit is checked on the pieces."""
+    pieces = piece_offsets(parts, keys, with_limit=True)
+    whole = pieces.groupBy(*keys).agg(F.count("*").alias("pieces"), F.max(F.col("piece_start") + F.col("piece_chars")).alias("chars"), F.max("max_chars").alias("max_chars"))
+    return whole.filter((F.col("pieces") > 1) & (F.col("chars") > F.col("max_chars")))
 
 
 def conversion_items(conversions: DataFrame, splits: DataFrame, profiles: DataFrame) -> DataFrame:
