@@ -94,12 +94,21 @@ def p7_decoded(spark: SparkSession, d: str) -> DataFrame:
     return decoded.select("doc_id", F.md5("text").alias("digest"))
 
 
+def _leaks(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
-    return leakage.find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "item_id")
+    return leakage.phrases(_leaks(spark, d)).select("doc_id", "item_id")
+
+
+def p8_near(spark: SparkSession, d: str) -> DataFrame:
+    """The documents that hold words of an item at their places, with others between them changed."""
+    return _leaks(spark, d).filter("kind = 'proximity'").select("doc_id", "item_id", "matched_words", "near_words")
 
 
 def p8_leaked_items(spark: SparkSession, d: str) -> DataFrame:
-    return leakage.leaked_items(leakage.find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items")))
+    return leakage.leaked_items(_leaks(spark, d))
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
@@ -111,7 +120,7 @@ def p9_clean_corpus(spark: SparkSession, d: str) -> DataFrame:
     return residue.without_residue(docs, residue.find_residue(docs)).select("doc_id", "source", "doc_kind")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_groups, p4_found, p4_rates, p5_found, p5_pieces, p5_rebuilt, p6_found, p6_canonical, p7_ids, p7_decoded, p8_found, p8_leaked_items, p9_found, p9_clean_corpus)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_groups, p4_found, p4_rates, p5_found, p5_pieces, p5_rebuilt, p6_found, p6_canonical, p7_ids, p7_decoded, p8_found, p8_near, p8_leaked_items, p9_found, p9_clean_corpus)}
 
 _P8 = """
 with w as (select item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') as ws from eval_items),
@@ -121,6 +130,18 @@ grams as (select doc_id, array_to_string(ws[i:i+11], ' ') as gram from (select d
 select distinct doc_id, item_id from grams join items using (gram)
 """
 
+_P8_ITEMS = """
+with recursive w as (select item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') as ws from eval_items),
+iw as (select item_id, generate_subscripts(ws, 1) as i, unnest(ws) as word from w where len(ws) >= 12),
+leaky as (select distinct item_id, doc_id from ({found})),
+dw as (select doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') as ws from documents where text is not null),
+pos as (select doc_id, generate_subscripts(ws, 1) as j, unnest(ws) as word from dw where doc_id in (select doc_id from leaky)),
+hits as (select item_id, doc_id, j - i as delta, i from iw join leaky using (item_id) join pos using (doc_id, word)),
+runs as (select item_id, doc_id, delta, i - row_number() over (partition by item_id, doc_id, delta order by i) as run from hits),
+longest as (select item_id, doc_id, count(*) as n from runs group by item_id, doc_id, delta, run)
+select item_id, count(distinct doc_id) as documents, cast(max(n) as integer) as longest from longest group by item_id
+""".replace("{found}", _P8)
+
 _P2 = """
 with one as (select element_id, any_value(label) as label, any_value(variables) as variables from partial_elements group by element_id),
 words as (select element_id, list_distinct(regexp_extract_all(lower(concat_ws(' ', label, array_to_string([v.label for v in variables], ' '))), '[\\p{L}\\p{N}]+')) as ws
@@ -149,4 +170,4 @@ where length(text) > 0 group by 1, 2, 3
 
 _P7 = "select doc_id, md5(coalesce(text, '')) as digest from documents"
 
-SQL = {"p2_found": _P2, "p5_found": _P5, "p5_rebuilt": _P5_TEXTS, "p7_decoded": _P7, "p8_found": _P8}
+SQL = {"p2_found": _P2, "p5_found": _P5, "p5_rebuilt": _P5_TEXTS, "p7_decoded": _P7, "p8_found": _P8, "p8_leaked_items": _P8_ITEMS}
