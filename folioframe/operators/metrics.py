@@ -17,16 +17,32 @@ def split_stats(chunks: DataFrame, by: list[str]) -> DataFrame:
     return chunks.groupBy(*by).agg(F.count("*").alias("total_chunks"), F.sum(n).cast("bigint").alias("total_chars"), F.min(n).cast("bigint").alias("min_size"), F.max(n).cast("bigint").alias("max_size"), F.floor(F.sum(n) / F.count("*")).cast("bigint").alias("average_size"))
 
 
+def debug_stats(chunks: DataFrame, by: list[str]) -> DataFrame:
+    """Sizes of the chunks of each group, and how many have a section, an element, a table or a continuation marker."""
+    from folioframe.operators.structure import STRICT_ELEMENT, STRICT_SECTION
+
+    c = F.col("chunk")
+    n = F.length(c).cast("bigint")
+    some = {"sections": c.rlike(STRICT_SECTION), "elements": c.rlike(STRICT_ELEMENT), "tables": F.contains(c, F.lit("|")), "markers": F.contains(c, F.lit("[")) & F.contains(c, F.lit("CONTINUATION"))}
+    return chunks.groupBy(*by).agg(F.count("*").alias("chunks"), F.avg(n).alias("average_size"), F.min(n).alias("min_size"), F.max(n).alias("max_size"), *[F.count_if(on).alias(f"with_{k}") for k, on in some.items()])
+
+
 def conversion_stats(df: DataFrame, *, key: str, text: str) -> DataFrame:
     c = F.col(text)
     return df.select(key, F.length(c).cast("bigint").alias("markdown_length"), line_count(c).alias("markdown_lines"), word_count(c).alias("markdown_words"))
 
 
-def validate_stats(df: DataFrame, *, key: str, text: str) -> DataFrame:
-    """Counts of headers, bold element starts and table rows, and what they would take to process."""
+def validate_stats(df: DataFrame, *, key: str, text: str, chunks: Column | None = None) -> DataFrame:
+    """Counts of headers, bold element starts and table rows and the tokens they'd take; with ``chunks`` their sizes and the minutes."""
     c = F.col(text)
     count = lambda p: F.regexp_count(c, F.lit(p)).cast("bigint")
-    return df.select(key, count(r"(?m)^#+ ").alias("headers"), count(r"(?m)^\*\*[^*\n]+\*\*").alias("bold_starts"), count(r"(?m)^\|.*\|").alias("table_rows"), (F.length(c) * 0.75).cast("bigint").alias("tokens"))
+    out = [key, count(r"(?md)^#\s+.*$").alias("headers"), count(r"(?md)^\*\*.*\*\*").alias("bold_starts"), count(r"(?md)^\|.*\|.*\|").alias("table_rows"), (F.length(c) * 0.75).alias("tokens")]
+    if chunks is not None:
+        sizes = F.transform(chunks, lambda x: F.length(x).cast("bigint"))
+        n = F.size(chunks).cast("bigint")
+        total = F.aggregate(sizes, F.lit(0).cast("bigint"), lambda s, x: s + x)
+        out += [n.alias("chunks"), F.try_divide(total, n).alias("average_size"), F.array_min(sizes).alias("min_size"), F.array_max(sizes).alias("max_size"), (n / 6).alias("minutes")]
+    return df.select(*out)
 
 
 def batch_summary(runs: DataFrame, *, by: list[str], ok: Column, seconds: Column) -> DataFrame:
@@ -74,20 +90,56 @@ def round_trip(original: DataFrame, rebuilt: DataFrame, *, key: str, text: str)
     return original.select(key, text).join(r, key, "left").select(key, F.coalesce(o == F.col("rebuilt"), F.lit(False)).alias("equal"), F.coalesce(bare(o) == bare(F.col("rebuilt")), F.lit(False)).alias("equal_but_white_space"), F.greatest(F.length(bare(o)) - F.coalesce(F.length(bare(F.col("rebuilt"))), F.lit(0)), F.lit(0)).cast("bigint").alias("lost_chars"))
 
 
-def string_diff(df: DataFrame, *, key: str, a: str, b: str) -> DataFrame:
-    """(key, changed, white_space, share): characters that differ between two strings, by longest matching blocks."""
+def diff_counts(original: str, other: str) -> tuple[int, int, int, float]:
+    """Characters of the original that have no counterpart: all, white space, other, and the share of white space in percent."""
+    import difflib
+
+    gone = "".join(original[i:j] for tag, i, j, _, _ in difflib.SequenceMatcher(None, original, other).get_opcodes() if tag != "equal")
+    white = sum(map(str.isspace, gone))
+    return len(gone), white, len(gone) - white, 100 * white / len(gone) if gone else 0.0
+
+
+def missing_windows(original: str, other: str, width: int = 300, context: int = 100) -> list[str]:
+    """The regions of the original of which a window of ``width`` characters isn't in the other text.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import difflib
+    Windows follow each other where one is missing and overlap by half where it is
+    not; a region is its window with ``context`` characters on both sides, and one
+    that another region contains isn't repeated.
+    """
+    regions: list[str] = []
+    at = 0
+    while at < len(original):
+        found = original[at : at + width] in other
+        if not found:
+            region = original[max(0, at - context) : at + width + context]
+            if not any(region in r for r in regions):
+                regions.append(region)
+        at += width // 2 if found else width
+    return regions
 
+
+def _compared(df: DataFrame, key: str, a: str, b: str, schema: str, rows_of) -> DataFrame:
+    """(key, ...) of rows_of(a, b) for each pair of texts; null counts as empty."""
+    import pyarrow as pa
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
-            rows = []
-            for r in t.itertuples(index=False):
-                x, y = r.a or "", r.b or ""
-                ops = [o for o in difflib.SequenceMatcher(None, x, y, autojunk=False).get_opcodes() if o[0] != "equal"]
-                gone = "".join(x[i:j] + y[k:m] for _, i, j, k, m in ops)
-                rows.append((r.k, len(gone), sum(ch.isspace() for ch in gone), round(100 * len(gone) / max(len(x), len(y), 1), 4)))
-            yield pd.DataFrame(rows, columns=["k", "changed", "white_space", "share"])
+            found = [rows_of(x or "", y or "") for x, y in zip(t.column(1).to_pylist(), t.column(2).to_pylist())]
+            take = pa.array([i for i, rows in enumerate(found) for _ in rows], pa.int32())
+            out = pd.DataFrame([r for rows in found for r in rows], columns=names)
+            yield pa.RecordBatch.from_arrays([t.column(0).take(take), *(pa.array(out[n].tolist(), types[n]) for n in names)], names=["k", *names])
 
+    names = [f.split()[0] for f in schema.split(", ")]
+    types = {n: {"bigint": pa.int64(), "double": pa.float64(), "string": pa.string()}[f.split()[1]] for n, f in zip(names, schema.split(", "))}
     rows = df.select(F.col(key).alias("k"), F.col(a).alias("a"), F.col(b).alias("b"))
-    return rows.mapInPandas(run, f"k {rows.schema['k'].dataType.simpleString()}, changed bigint, white_space bigint, share double").withColumnRenamed("k", key)
+    return rows.mapInArrow(run, f"k {rows.schema['k'].dataType.simpleString()}, {schema}").withColumnRenamed("k", key)
+
+
+def string_diff(df: DataFrame, *, key: str, a: str, b: str) -> DataFrame:
+    """(key, changed, white_space, other, white_space_percent), see :func:`diff_counts`."""
+    return _compared(df, key, a, b, "changed bigint, white_space bigint, other bigint, white_space_percent double", lambda x, y: [diff_counts(x, y)])
+
+
+def missing_regions(df: DataFrame, *, key: str, a: str, b: str, width: int = 300) -> DataFrame:
+    """(key, region_no, region), see :func:`missing_windows`."""
+    return _compared(df, key, a, b, "region_no bigint, region string", lambda x, y: list(enumerate(missing_windows(x, y, width))))

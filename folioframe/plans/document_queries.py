@@ -40,6 +40,47 @@ def boundary_chunks(spark, d):
     return chunking.split_documents(_docs(spark, d), "boundaries", key="doc_id", text="text")
 
 
+def size_chunks_parity(spark, d):
+    return chunking.split_documents(_docs(spark, d), "size_parity", key="doc_id", text="text")
+
+
+def adjusted_chunks(spark, d):
+    """The character chunks of each document with their ends moved to structures near them."""
+    docs = _docs(spark, d)
+    chunks = chunking.split_documents(docs, "character", key="doc_id", text="text")
+    arrays = chunks.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("chunk_index", "chunk"))), lambda x: x["chunk"]).alias("chunks"))
+    return chunking.adjust_boundaries(docs.join(arrays, "doc_id"), "chunks", key="doc_id", text="text")
+
+
+def order_repair(spark, d):
+    """The delimiter chunks of each document, reversed and put in order again."""
+    docs = _docs(spark, d).select("doc_id", "text", F.reverse(chunking.by_delimiter(F.col("text"))).alias("chunks"))
+    return chunking.repair_order(docs, "chunks", key="doc_id", text="text")
+
+
+def preprocessed(spark, d):
+    return _docs(spark, d).select("doc_id", F.md5(chunking.preprocess(F.col("text"))).alias("digest"))
+
+
+def refined_analysis(spark, d):
+    return structure.refined_analysis(_chunks(spark, d))
+
+
+def content_markers(spark, d):
+    """The marker of each chunk, the markers found again behind it, and the chunk without them."""
+    rows = _chunks(spark, d).withColumn("marked", structure.with_marker(F.col("chunk")))
+    return rows.select("doc_id", "chunk_index", structure.content_marker(F.col("chunk")).alias("marker"), F.array_join(structure.found_markers(F.col("marked")), ";").alias("found"), F.md5(structure.without_markers(F.col("marked"))).alias("bare"))
+
+
+def chunk_debug_stats(spark, d):
+    """How many chunks of each document have a section, an element, a table or a continuation marker."""
+    return metrics.debug_stats(_chunks(spark, d), ["doc_id"])
+
+
+def char_chunks_parity(spark, d):
+    return chunking.by_spans(_docs(spark, d), "character_parity", key="doc_id", text="text", size=2000, overlap=200)
+
+
 def char_chunks(spark, d):
     return chunking.by_spans(_docs(spark, d), "character", key="doc_id", text="text", size=2000, overlap=200)
 
@@ -142,7 +183,7 @@ def split_summary(spark, d):
 
 
 def validate_stats(spark, d):
-    return metrics.validate_stats(_docs(spark, d), key="doc_id", text="text")
+    return metrics.validate_stats(_docs(spark, d), key="doc_id", text="text", chunks=chunking.by_delimiter(F.col("text")))
 
 
 def conversion_stats(spark, d):
@@ -241,7 +282,7 @@ def schema_validation(spark, d):
 
 
 _NAMES = (
-    delimiter_chunks, delimiter_chunks_headerless, header_chunks, size_chunks, boundary_chunks, char_chunks, aware_chunks, token_chunks, chunk_strategy, semantic_boundaries,
+    delimiter_chunks, delimiter_chunks_headerless, header_chunks, size_chunks, boundary_chunks, size_chunks_parity, char_chunks, char_chunks_parity, aware_chunks, token_chunks, adjusted_chunks, order_repair, preprocessed, refined_analysis, content_markers, chunk_debug_stats, chunk_strategy, semantic_boundaries,
     chunk_details, structure_offsets, ordered_reassembly, structure_map, element_positions, next_element_hint, chunk_footer, simple_analysis, fallback_analysis, fragment_flags,
     completion_flags, context_buffer, carried_codes, structure_range_join, preceding_element_asof, split_stats, split_summary, validate_stats, conversion_stats, md_blank_collapse,
     strip_tags_text, table_label_carry, variable_rows, extracted_elements, section_fold, assembly_warnings, survey_json, token_estimate, prompt_render, preview_topn,
@@ -260,8 +301,8 @@ marks as (select doc_id, chunk_index, chunk, cast(length(chunk) as bigint) as si
 seq as (select *, cast(sum(has_section_header::bigint) over (partition by doc_id order by chunk_index) as bigint) as section_seq from marks),
 smap as (select *, cast(sum(elements_count) over (partition by doc_id, section_seq order by chunk_index) + 1 as bigint) as next_section_element_position,
   case when has_section_header then section_seq end as section_position,
-  case when has_section_header and elements_count > 0 then 'section_with_elements' when has_section_header then 'section_header_only' when elements_count > 0 then 'elements_only' when has_table then 'table_content' else 'content_fragment' end as chunk_type,
-  case when has_section_header then 'high' when elements_count > 0 or has_table then 'medium' else 'low' end as priority from seq)
+  case when has_section_header and elements_count > 0 then 'section_with_elements' when has_section_header then 'section_header_only' when elements_count > 0 then 'elements_only' when has_value_table or has_variable_table then 'table_content' else 'content_fragment' end as chunk_type,
+  case when has_section_header or elements_count > 0 then 'high' when table_row_count > 0 then 'medium' else 'low' end as priority from seq)
 """
 _M = f"with chunks as (select * from {P.CHUNKS}), {_MARKS} "
 _DOCS = "(select doc_id, text from documents where text is not null)"
@@ -279,6 +320,86 @@ _SPANS = r"""(select doc_id, chunk_index, cast(coalesce(sum(length(chunk) + 6) o
 _HEADERLESS = P.kept("list_transform(" + P.DELIMITER_CHUNKS + r", lambda x: case when starts_with(x, '#') then regexp_replace(x, '\A#[^\n]*\n?', '') else x end)")
 _CELLS = "list_transform(string_split(regexp_replace(" + P.strip("line") + r", '\A\||\|\z', '', 'g'), '|'), lambda x: " + P.strip("replace(replace(x, '**', ''), '\\_', '_')") + ")"
 
+
+
+def _found(x: str) -> str:
+    """SQL of the lines in square brackets among the first five."""
+    return f"list_filter(list_transform(string_split({x}, chr(10))[1:5], lambda y: {P.strip('y')}), lambda y: starts_with(y, '[') and ends_with(y, ']'))"
+
+
+_OPEN = r""", marked as (select *, regexp_matches(chunk, '(?m)(?i)^#+\s+Section') as s, regexp_matches(chunk, '(?m)^\*\*[^*]+\*\*:') as e from chunks),
+      opened as (select *, coalesce(last_value(case when s then 'section' when e then 'element' end ignore nulls) over w = 'element', false) as element_open, coalesce(bool_or(s) over w, false) as section_open
+        from marked window w as (partition by doc_id order by chunk_index rows between unbounded preceding and 1 preceding))"""
+
+
+def _starts(pattern: str) -> str:
+    """SQL of the list of places where the pattern matches, for each document."""
+    return f"(select doc_id, list(start order by start) as at from {P.matches(_DOCS, 'doc_id', 'text', pattern, 0)} group by doc_id)"
+
+
+def _added(gap: int, kept: str, more: str) -> str:
+    """SQL of the list ``kept`` and those of ``more``, one after another, that lie off all so far."""
+    return f"list_reduce(list_transform(coalesce({more}, []), lambda x: [x]), lambda acc, x: case when len(list_filter(acc, lambda y: abs(y - x[1]) < {gap})) > 0 then acc else acc || x end, {kept})"
+
+
+_PLACES = rf"""(select doc_id, text, list_sort(list_distinct({_added(20, 'with_tables', 'p')})) as places from (
+  select *, {_added(50, 'strong', 't')} as with_tables from (
+    select d.doc_id, d.text, list_distinct(coalesce(s.at, []) || coalesce(e.at, []) || coalesce(h.at, [])) as strong, t.at as t, p.at as p
+    from {_DOCS} d left join {_starts(r'(?m)(?i)^#+\s+Section\s+\d+')} s using (doc_id) left join {_starts(r'(?m)^\*\*[^*\n]+\*\*\s*:')} e using (doc_id)
+    left join {_starts(r'(?m)^#+\s+')} h using (doc_id) left join {_starts(r'(?m)^\|[^|]*\|[^|]*\|')} t using (doc_id) left join {_starts(r'\n\n+')} p using (doc_id))))"""
+#: chunks of spans (doc_id, text, n, start, stop) without their outer white space, blank ones left out
+_OF_SPANS = rf"""select doc_id, row_number() over (partition by doc_id order by n) - 1 as chunk_index, cast(start + length(piece) - length(regexp_replace(piece, '\A{P.WHITE}+', '')) as bigint) as chunk_start, {P.strip('piece')} as chunk
+  from (select doc_id, n, start, substring(text, start + 1, stop - start) as piece from spans) where {P.strip('piece')} <> ''"""
+_TEXTS = "(select doc_id, text, length(text) as size from documents where length(text) > 0)"
+
+
+def _space(low: str, stop: str) -> str:
+    """SQL of the place of the last space between two places, -1 without one."""
+    part = f"reverse(substring(text, cast({low} + 1 as bigint), cast({stop} - {low} as bigint)))"
+    return f"(case when strpos({part}, ' ') = 0 then -1 else {stop} - strpos({part}, ' ') end)"
+
+
+def _walked(source: str, stop: str, following: str) -> str:
+    """SQL of the chunks of spans of which each begins where ``following`` says."""
+    step = lambda n, start, rows: f"select doc_id, text, size, places, {n} as n, start, cast({stop} as bigint) as stop from (select *, least(start + 2000, size) as full_stop from (select doc_id, text, size, places, {n}, cast({start} as bigint) as start from {rows}))"
+    first = step("n", "0", f"(select *, 0 as n from {source})")
+    more = step("n", following, "(select * replace (n + 1 as n) from spans where stop < size)")
+    return f"with recursive spans as ({first} union all {more}) {_OF_SPANS}"
+
+
+def _chars(following: str) -> str:
+    back = _space("(start + 1600)", "full_stop")
+    white = f"regexp_matches(substring(text, full_stop + 1, 1), '{P.WHITE}')"
+    return _walked(f"(select *, cast([] as bigint[]) as places from {_TEXTS})", f"case when full_stop < size and not {white} and {back} > start then {back} + 1 else full_stop end", following)
+
+
+_NEAR = "coalesce(list_filter(places, lambda x: x between start + 1800 and least(start + 2200, size))[1], full_stop)"
+_AWARE = _walked(
+    f"(select doc_id, text, length(text) as size, places from {_PLACES} where length(text) > 0)",
+    f"case when size <= 2000 then size when {_NEAR} = full_stop and full_stop < size and {_space('(start + 1800)', 'full_stop')} > start then {_space('(start + 1800)', 'full_stop')} + 1 else {_NEAR} end",
+    "greatest(stop - 200, start + 1)",
+)
+_BOUNDED = rf"""with recursive t as (select doc_id, text, length(text) as size, list_append(places, length(text)) as places from {_PLACES} where length(text) > 0),
+  walk as (select doc_id, text, size, places, 0 as i, cast(0 as bigint) as start, cast(null as bigint) as cut_from, cast(null as bigint) as cut_to from t where size > 2000
+    union all select doc_id, text, size, places, i + 1, case when is_full and has_some then greatest(start + 1800, at) else start end, case when (is_full or at = size) and has_some then start end, at
+    from (select *, {P.strip("substring(text, start + 1, at - start)")} <> '' as has_some, at - start >= 1800 as is_full from (select doc_id, text, size, places, i, start, places[i + 1] as at from walk where i < len(places)))),
+  spans as (select doc_id, text, i as n, cut_from as start, cut_to as stop from walk where cut_from is not null union all select doc_id, text, 0, 0, size from t where size <= 2000)
+  select doc_id, chunk_index, chunk from ({_OF_SPANS})"""
+
+
+def _packed(parity: bool) -> str:
+    """SQL of lines packed up to 2000 characters, folded line by line."""
+    glue, end = ("", "") if parity else ("", "chr(10)")
+    tail = "array_to_string(ls[greatest(1, len(ls) - 3):], chr(10))" if parity else "array_to_string(ls[greatest(1, len(ls) - 4):len(ls) - 1], chr(10))"
+    begun = f"{tail} || chr(10) || line" + (f" || {end}" if end else glue)
+    step = f"select doc_id, lines, i + 1 as i, case when is_full then ({begun}) else open || line || chr(10) end as open, case when is_full then length({begun}) else size + length(line) + 1 end as size, case when is_full then open end as done"
+    return rf"""with recursive t as (select doc_id, string_split(text, chr(10)) as lines from documents where text is not null),
+      walk as (select doc_id, lines, 0 as i, '' as open, cast(0 as bigint) as size, cast(null as varchar) as done from t
+        union all {step} from (select *, lines[i + 1] as line, string_split(open, chr(10)) as ls, size + length(lines[i + 1]) > 2000 and open <> '' as is_full from walk where i < len(lines))),
+      found as (select doc_id, i, done as chunk from walk where done is not null union all select doc_id, i + 1, open from walk where i = len(lines))
+      select doc_id, row_number() over (partition by doc_id order by i) - 1 as chunk_index, chunk from (select doc_id, i, {P.strip('chunk')} as chunk from found) where chunk <> ''"""
+
+
 SQL = {
     "delimiter_chunks": f"select * from {P.CHUNKS}",
     "delimiter_chunks_headerless": f"select * from {P.unnested(_HEADERLESS)}",
@@ -286,10 +407,11 @@ SQL = {
     "chunk_strategy": rf"""select doc_id, case when {P.strip('text')} = '' then null when len({P.DELIMITER_CHUNKS}) >= 2 then 'delimiter' when h >= 2 and len({P.kept("string_split(regexp_replace(text, '(?m)^(# .)', chr(31) || '\1', 'g'), chr(31))")}) >= 2 then 'header' else 'size' end as strategy
       from (select doc_id, text, {P.count('text', '(?m)^# .+$')} as h from documents where text is not null)""",
     "chunk_details": _C + rf"""select doc_id, chunk_index, cast(length(chunk) as bigint) as size,
-      case when s then 'SECTION_START' when e then 'ELEMENT_START' when t then 'TABLE_DATA' when regexp_matches(chunk, '(?m)^\s*[*+-]\s+') then 'PROGRAMMING_NOTES' when length(chunk) < 100 then 'CONTINUATION' else 'MIXED_CONTENT' end as kind,
-      s as has_section, e as has_element, t as has_table, cast(length(chunk) - length(replace(chunk, chr(10), '')) + 1 as bigint) as line_count, replace(substring(chunk, 1, 100), chr(10), ' ') as preview,
-      nullif({P.strip("regexp_extract(chunk, '(?m)(?i)^#+\\s+Section\\s+(\\d+)', 1)")}, '') as section_code, nullif({P.strip("regexp_extract(chunk, '(?m)^\\*\\*([^*\\n]+)\\*\\*\\s*:', 1)")}, '') as element_code
-      from (select *, regexp_matches(chunk, '(?m)(?i)^#+\s+Section\s+\d+') as s, regexp_matches(chunk, '(?m)^\*\*[^*\n]+\*\*\s*:') as e, contains(chunk, '|') as t from chunks)""",
+      case when s then 'SECTION_START' when e then 'ELEMENT_START' when b then 'TABLE_DATA' when regexp_matches(chunk, '(?m)^\*\s*\*\*[^*]+\*\*') then 'PROGRAMMING_NOTES' when starts_with({P.strip('chunk')}, '[') and contains(chunk, 'CONTINUATION') then 'CONTINUATION' else 'MIXED_CONTENT' end as kind,
+      {_found('chunk')} as markers, s as has_section, e as has_element, contains(chunk, '|') as has_table, b as starts_with_table, cast(length(chunk) - length(replace(chunk, chr(10), '')) + 1 as bigint) as line_count,
+      case when length(chunk) > 200 then substring(chunk, 1, 200) || '...' else chunk end as preview,
+      nullif(regexp_extract(chunk, '(?m)(?i)^#+\s+Section\s+(\d+)', 1), '') as section_code, nullif(regexp_extract(chunk, '(?m)^\*\*([^*\n]+)\*\*\s*:', 1), '') as element_code
+      from (select *, regexp_matches(chunk, '(?m)(?i)^#+\s+Section\s+\d+') as s, regexp_matches(chunk, '(?m)^\*\*[^*\n]+\*\*\s*:') as e, starts_with({P.strip('chunk')}, '|') as b from chunks)""",
     "structure_offsets": _OFFSETS,
     "ordered_reassembly": "select doc_id, true as equal, true as equal_but_white_space, cast(0 as bigint) as lost_chars from documents where text is not null",
     "structure_map": _M + "select doc_id, chunk_index, size, lines, has_section_header, section_title, section_position, elements_count, has_value_table, has_variable_table, table_row_count, has_table, chunk_type, priority from smap",
@@ -297,21 +419,47 @@ SQL = {
       row_number() over (partition by doc_id order by chunk_index, start) as global_position, row_number() over (partition by doc_id, section_seq order by chunk_index, start) as section_relative_position, start as start_char, stop as end_char
       from {P.matches('smap', 'doc_id, chunk_index, section_seq', 'chunk', _EL, 2)}""",
     "next_element_hint": _M + "select doc_id, chunk_index, next_section_element_position from smap",
-    "chunk_footer": _M + """select doc_id, chunk_index, concat_ws(chr(10), format('<!-- Chunk {} of {} -->', chunk_index + 1, count(*) over (partition by doc_id)), case when has_section_header then '<!-- Section: ' || section_title || ' -->' end,
-      case when elements_count > 0 then format('<!-- Elements: {} -->', elements_count) end, '<!-- Chunk Type: ' || chunk_type || ' -->', '<!-- Processing Priority: ' || priority || ' -->') as footer from smap""",
+    "chunk_footer": _M + """select doc_id, chunk_index, '<!-- CHUNK METADATA -->' || chr(10) || '<!-- Chunk Index: ' || chunk_index || ' -->' || chr(10) || '<!-- Total Chunks: ' || (count(*) over (partition by doc_id)) || ' -->' || chr(10)
+      || case when has_section_header then format('<!-- Section Position: {} -->{}<!-- Section Title: {} -->{}<!-- Next Element Position: 1 -->{}', section_position, chr(10), coalesce(section_title, ''), chr(10), chr(10)) else '' end
+      || case when elements_count > 0 then format('<!-- Elements in Chunk: {} -->{}<!-- First Element Position: {} -->{}<!-- Last Element Position: {} -->{}', elements_count, chr(10), next_section_element_position - elements_count, chr(10), next_section_element_position - 1, chr(10)) else '' end
+      || '<!-- Next Element Position: ' || next_section_element_position || ' -->' || chr(10)
+      || case when has_value_table then '<!-- Contains Value Table: Variables/Options -->' || chr(10) else '' end || case when has_variable_table then '<!-- Contains Variable Table: Grid Questions -->' || chr(10) else '' end
+      || format('<!-- Chunk Type: {} -->{}<!-- Processing Priority: {} -->{}<!-- END METADATA -->', chunk_type, chr(10), priority, chr(10)) as footer from smap""",
     "simple_analysis": _C + """select doc_id, chunk_index, case when a then 'element_start' when b then 'section_start' when c then 'element_continuation' else 'unknown' end as kind, cast(case when a or b then 0.9 when c then 0.7 else 0.8 end as double) as confidence
       from (select *, starts_with(chunk, '**') and contains(chunk, '**:') as a, starts_with(chunk, '#') as b, contains(chunk, '|') and (contains(chunk, 'Value Code') or contains(chunk, 'Variable Name')) as c from chunks)""",
-    "fallback_analysis": _C + r""", f as (select doc_id, chunk_index, regexp_matches(chunk, '(?m)(?i)^#+\s+Section\s+\d+') as s, regexp_matches(chunk, '(?m)^\*\*[^*\n]+\*\*\s*:') as e0, contains(chunk, '|') as t from chunks),
-      g as (select *, e0 and not s as e from f),
-      o as (select *, last_value(case when s then 'section' when e then 'element' end ignore nulls) over w as open, coalesce(bool_or(s) over w, false) as any_section from g window w as (partition by doc_id order by chunk_index rows between unbounded preceding and 1 preceding)),
-      k as (select *, case when s then 'section_start' when e then 'element_start' when t and open = 'element' then 'element_continuation' when any_section then 'section_continuation' else 'unknown' end as kind from o),
-      p as (select *, lag(kind) over (partition by doc_id order by chunk_index) as previous from k)
-      select doc_id, chunk_index, kind, previous, cast(round(least(case when s then 0.8 when e then 0.7 when kind = 'element_continuation' then 0.6 when kind = 'section_continuation' then 0.5 else 0.3 end + case when kind = 'element_continuation' and previous in ('element_start', 'element_continuation') then 0.1 else 0.0 end, 1.0), 2) as double) as confidence from p""",
-    "fragment_flags": _C + r"""select doc_id, chunk_index, s as starts_incomplete, e as ends_incomplete, s or e as is_fragment from (
-      select doc_id, chunk_index, not regexp_matches(l[1], '^(?:#|\*\*|\*|\||-|[A-Z_]+:)') as s, length(l[-1]) - length(replace(l[-1], '|', '')) = 1 and not regexp_matches(l[-1], '[.!?:|*]\s*$') as e from (select doc_id, chunk_index, string_split(chunk, chr(10)) as l from chunks))""",
-    "completion_flags": _C + rf"""select doc_id, chunk_index, len(list_filter(l, lambda x: regexp_matches(x, '^#+ '))) > 0 as new_section, len(list_filter(l, lambda x: regexp_matches(x, '^\*\*[^*]+\*\*'))) > 0 as new_element,
-      len(list_filter(l, lambda x: regexp_matches(x, '^\\?=\\?=\\?=$'))) > 0 as label_ended, len(list_filter(l, lambda x: regexp_matches(x, '^\\?\*\\?\*\\?\*$'))) > 0 as element_ended
-      from (select doc_id, chunk_index, list_transform(string_split(chunk, chr(10)), lambda x: {P.strip('x')}) as l from chunks)""",
+    "fallback_analysis": _C + _OPEN + r"""
+      select doc_id, chunk_index, kind, cast(case kind when 'section_start' then 0.8 when 'element_start' then 0.7 when 'element_continuation' then 0.6 when 'section_continuation' then 0.5 else 0.3 end as double) as confidence, lag(kind) over (partition by doc_id order by chunk_index) as previous
+      from (select *, case when s then 'section_start' when e then 'element_start' when contains(chunk, '|') and element_open then 'element_continuation' when section_open then 'section_continuation' else 'unknown' end as kind from opened)""",
+    "refined_analysis": _C + _OPEN + r"""
+      , simple as (select *, case when starts_with(chunk, '**') and contains(chunk, '**:') then 'element_start' when starts_with(chunk, '#') then 'section_start' when contains(chunk, '|') and (contains(chunk, 'Value Code') or contains(chunk, 'Variable Name')) then 'element_continuation' else 'unknown' end as k0 from opened)
+      , first as (select *, case when k0 = 'unknown' and contains(chunk, '|') and element_open and not e and not s then 'element_continuation' when k0 = 'unknown' and section_open and not s then 'section_continuation' else k0 end as kind from simple)
+      , tenths as (select *, least(case k0 when 'element_continuation' then 7 when 'unknown' then 8 else 9 end + case when k0 = 'unknown' and kind = 'element_continuation' then 2 when k0 = 'unknown' and kind = 'section_continuation' then 1 else 0 end, 10) as t from first)
+      select doc_id, chunk_index, kind, cast(least(t + case when (kind = 'element_continuation' and element_open and contains(chunk, '|')) or (kind = 'section_continuation' and section_open) then 1 else 0 end, 10) as double) / 10 as confidence from tenths""",
+    "fragment_flags": _C + rf""", f as (select *, {P.strip("string_split(chunk, chr(10))[1]")} as a, {P.strip("string_split(chunk, chr(10))[-1]")} as z from chunks),
+      g as (select *, a <> '' and left(a, 1) not in ('#', '*', '|', '-') and not regexp_matches(a, '^[A-Z_]+:') as s, z <> '' and right(z, 1) not in ('|', '.', '?', '!', ':') and length(regexp_replace(z, '[^|]', '', 'g')) = 1 as e from f)
+      select doc_id, chunk_index, s as starts_incomplete, e as ends_incomplete, s or e as is_fragment, contains(chunk, '|') and s and not starts_with({P.strip('chunk')}, '#') and not regexp_matches({P.strip('chunk')}, '^\*\*[^*]+\*\*:') as continues_table from g""",
+    "completion_flags": _C + rf""", f as (select doc_id, chunk_index, len(list_filter(l, lambda x: regexp_matches(x, '(?i)^#+\s+Section\s+\d+'))) > 0 as s, len(list_filter(l, lambda x: regexp_matches(x, '^\*\*[^*]+\*\*:'))) > 0 as e
+      from (select doc_id, chunk_index, list_transform(string_split(chunk, chr(10)), lambda x: {P.strip('x')}) as l from chunks))
+      select doc_id, chunk_index, s as new_section, e as new_element, s as section_complete, case when s then e else true end as element_complete from f""",
+    "content_markers": _C + rf""", f as (select *, {P.strip("string_split(chunk, chr(10))[1]")} as a, array_to_string(string_split(chunk, chr(10))[1:3], chr(10)) as near from chunks),
+      m as (select *, case when starts_with(a, '|') then case when contains(near, 'Variable') then '[VARIABLES_TABLE_CONTINUATION]' when contains(near, 'Value') or contains(near, 'Code') then '[COLUMNS_TABLE_CONTINUATION]' else '[TABLE_CONTINUATION]' end
+        when a <> '' and left(a, 1) not in ('#', '*', '|', '-') and not regexp_matches(a, '^[A-Z][a-z]+:') then case when regexp_matches(lower(a), 'single answer|programmer|randomize|multicode') then '[ELEMENT_INSTRUCTIONS_CONTINUATION]' else '[CONTENT_CONTINUATION]' end
+        when regexp_matches(a, '^\*\*[^*\n]+\*\*\s*:') then '[ELEMENT_START:' || regexp_extract(a, '^\*\*([^*\n]+)\*\*\s*:', 1) || ']' when regexp_matches(a, '(?i)^#+\s+Section\s+\d+') then '[SECTION_START:' || regexp_extract(a, '(?i)^#+\s+Section\s+(\d+)', 1) || ']' end as marker from f),
+      w as (select *, case when marker is null then chunk else marker || chr(10) || chunk end as marked from m)
+      select doc_id, chunk_index, marker, array_to_string({_found('marked')}, ';') as found,
+        md5(case when regexp_matches(marked, '\[SECTION_START:|\[ELEMENT_START:|\[TABLE_CONTINUATION\]|\[CONTENT_CONTINUATION\]') then array_to_string(list_filter(string_split(marked, chr(10)), lambda x: not (starts_with({P.strip('x')}, '[') and ends_with({P.strip('x')}, ']'))), chr(10)) else marked end) as bare from w""",
+    "chunk_debug_stats": _C + r"""select doc_id, count(*) as chunks, avg(length(chunk)) as average_size, cast(min(length(chunk)) as bigint) as min_size, cast(max(length(chunk)) as bigint) as max_size,
+      count(*) filter (regexp_matches(chunk, '(?m)(?i)^#+\s+Section\s+\d+')) as with_sections, count(*) filter (regexp_matches(chunk, '(?m)^\*\*[^*\n]+\*\*\s*:')) as with_elements, count(*) filter (contains(chunk, '|')) as with_tables, count(*) filter (contains(chunk, '[') and contains(chunk, 'CONTINUATION')) as with_markers from chunks group by doc_id""",
+    "order_repair": f"select * from {P.CHUNKS} order by doc_id, chunk_index",
+    "preprocessed": rf"""select doc_id, md5(string_agg(case when regexp_matches(line, '(?i)^#+\s+Section\s+\d+') then chr(10) || chr(10) || line when regexp_matches(line, '^\*\*[^*\n]+\*\*\s*:') and before <> '' then chr(10) || line else line end, chr(10) order by n)) as digest
+      from (select *, {P.strip("lag(line, 1, '') over (partition by doc_id order by n)")} as before from (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as n from documents where text is not null)) group by doc_id""",
+    "semantic_boundaries": f"select doc_id, unnest(places) as place from {_PLACES}",
+    "size_chunks": _packed(False),
+    "size_chunks_parity": _packed(True),
+    "char_chunks": _chars("greatest(stop - 200, start + 1)"),
+    "char_chunks_parity": _chars("greatest(start + 1800, stop)"),
+    "aware_chunks": _AWARE,
+    "boundary_chunks": _BOUNDED,
     "context_buffer": _C + "select doc_id, chunk_index, lag(right(chunk, 40)) over (partition by doc_id order by chunk_index) as context from chunks",
     "carried_codes": _C + rf""", r as (select doc_id, chunk_index, last_value(nullif({P.strip("regexp_extract(chunk, '(?m)^# (.+)$', 1)")}, '') ignore nulls) over w as section,
       last_value(nullif({P.strip(f"regexp_extract(chunk, '{_EL}', 1)")}, '') ignore nulls) over w as element, count(case when regexp_matches(chunk, '(?m)^# (.+)$') then 1 end) over w as n
@@ -321,7 +469,11 @@ SQL = {
     "preceding_element_asof": f"""select doc_id, ord, start, owner.code as element_code, owner.start as element_start from (
       select *, last_value(case when kind = 'element' then {{'code': code, 'start': start}} end ignore nulls) over (partition by doc_id order by start, kind, ord rows between unbounded preceding and 1 preceding) as owner from ({_OFFSETS})) where kind = 'table'""",
     "split_stats": _C + "select source, count(*) as total_chunks, cast(sum(length(chunk)) as bigint) as total_chars, cast(min(length(chunk)) as bigint) as min_size, cast(max(length(chunk)) as bigint) as max_size, cast(floor(sum(length(chunk)) / count(*)) as bigint) as average_size from chunks join documents using (doc_id) group by source",
-    "validate_stats": rf"select doc_id, {P.count('text', '(?m)^#+ ')} as headers, {P.count('text', r'(?m)^\*\*[^*\n]+\*\*')} as bold_starts, {P.count('text', r'(?m)^\|.*\|')} as table_rows, cast(trunc(length(text) * 0.75) as bigint) as tokens from documents where text is not null",
+    "split_summary": _C + """, t as (select source, count(*) as n, sum(length(chunk)) as c, min(length(chunk)) as a, max(length(chunk)) as z from chunks join documents using (doc_id) group by source)
+      select concat_ws(chr(10), 'source: ' || coalesce(source, '-'), 'total_chunks: ' || n, 'total_chars: ' || c, 'min_size: ' || a, 'max_size: ' || z, 'average_size: ' || cast(floor(c / n) as bigint)) as summary from t""",
+    "validate_stats": rf"""select doc_id, {P.count('text', r'(?m)^#\s+.*$')} as headers, {P.count('text', r'(?m)^\*\*.*\*\*')} as bold_starts, {P.count('text', r'(?m)^\|.*\|.*\|')} as table_rows, cast(length(text) * 0.75 as double) as tokens,
+      cast(len(cs) as bigint) as chunks, list_avg(ls) as average_size, list_min(ls) as min_size, list_max(ls) as max_size, len(cs) / 6 as minutes
+      from (select *, list_transform(cs, lambda x: cast(length(x) as bigint)) as ls from (select doc_id, text, {P.DELIMITER_CHUNKS} as cs from documents where text is not null))""",
     "conversion_stats": f"select conversion_id, cast(length(t) as bigint) as markdown_length, cast(length(t) - length(replace(t, chr(10), '')) + 1 as bigint) as markdown_lines, cast(len(list_filter(string_split_regex(t, '{P.WHITE}+'), lambda x: x <> '')) as bigint) as markdown_words from (select conversion_id, any_value(markdown_content) as t from conversion_results where markdown_content is not null group by conversion_id)",
     "md_blank_collapse": r"select doc_id, md5(" + P.strip(r"regexp_replace(regexp_replace(text, '(?m)[ \t\r]+$', '', 'g'), '\n{3,}', chr(10) || chr(10), 'g')") + ") as digest from documents where text is not null",
     "strip_tags_text": r"select doc_id, md5(" + P.strip("replace(replace(replace(replace(replace(replace(regexp_replace(text, '(?s)<!--.*?-->|<[^>]*>', '', 'g'), '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&')") + ") as digest from documents where text is not null",
