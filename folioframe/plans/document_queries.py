@@ -381,8 +381,8 @@ _AWARE = _walked(
 )
 _BOUNDED = rf"""with recursive t as (select doc_id, text, length(text) as size, list_append(places, length(text)) as places from {_PLACES} where length(text) > 0),
   walk as (select doc_id, text, size, places, 0 as i, cast(0 as bigint) as start, cast(null as bigint) as cut_from, cast(null as bigint) as cut_to from t where size > 2000
-    union all select doc_id, text, size, places, i + 1, case when is_full and has_some then greatest(start + 1800, at) else start end, case when (is_full or at = size) and has_some then start end, at
-    from (select *, {P.strip("substring(text, start + 1, at - start)")} <> '' as has_some, at - start >= 1800 as is_full from (select doc_id, text, size, places, i, start, places[i + 1] as at from walk where i < len(places)))),
+    union all select doc_id, text, size, places, i + 1, case when is_full and has_some then greatest(start + 1800, place) else start end, case when (is_full or place = size) and has_some then start end, place
+    from (select *, {P.strip("substring(text, start + 1, place - start)")} <> '' as has_some, place - start >= 1800 as is_full from (select doc_id, text, size, places, i, start, places[i + 1] as place from walk where i < len(places)))),
   spans as (select doc_id, text, i as n, cut_from as start, cut_to as stop from walk where cut_from is not null union all select doc_id, text, 0, 0, size from t where size <= 2000)
   select doc_id, chunk_index, chunk from ({_OF_SPANS})"""
 
