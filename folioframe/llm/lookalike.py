@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioframe.llm.chargrams import PairModel, pair_counts
-from folioframe.llm.mojibake import Reader
+from folioframe.llm.mojibake import Reader, Tables, _in_block
 
 # Letters that look like Latin ones, pair by pair.
 CYRILLIC = "аaсcԁdеeһhіiјjӏlоoрpԛqѕsԝwхxуyѵvАAВBСCЕEНHІIЈJКKМMОOРPЅSТTХXУYԌGԜWкkтtмmвb"
@@ -160,7 +160,7 @@ def _suspect(c: Column) -> Column:
     return F.when(c.rlike(SUSPECT), c)
 
 
-def normalize_fields(df: DataFrame, fields: dict[str, bool], *, keys: list[str], source: str | None = None, fitted: tuple | None = None, model: PairModel | None = None) -> DataFrame:
+def normalize_fields(df: DataFrame, fields: dict[str, bool], *, keys: list[str], source: str | None = None, lang: str | None = "lang", fitted: list | None = None, model: PairModel | None = None) -> DataFrame:
     """(keys, field_name, original, canonical) of every value with a character standing in for an ordinary one.
 
     ``fields``: the columns, and of each whether it holds codes. With ``fitted``
@@ -169,17 +169,29 @@ def normalize_fields(df: DataFrame, fields: dict[str, bool], *, keys: list[str],
     """
     names = list(fields)
     if model is None:
-        model = fitted[0] if fitted else PairModel.of(pair_counts(df, names))
+        if fitted:  # block by block of sources, as their tables were learned
+            out = None
+            for blocks, n, m, tables in fitted:
+                mine = df.filter(_in_block(F.coalesce(F.col(source).cast("string"), F.lit("")), blocks, n)) if blocks > 1 else df
+                part = _normalize(mine, fields, keys, source, lang if lang in df.columns else None, m, tables)
+                out = part if out is None else out.unionByName(part)
+            return out
+        model = PairModel.of(pair_counts(df, names))
+    return _normalize(df, fields, keys, source, None, model, None)
+
+
+def _normalize(df: DataFrame, fields: dict[str, bool], keys: list[str], source: str | None, lang: str | None, model: PairModel, tables: Tables | None) -> DataFrame:
+    names = list(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        speller, reader = Speller(model), Reader(*fitted) if fitted else None
+        speller, reader = Speller(model), Reader(model, tables) if tables else None
         for batch in batches:
             rows, which, olds, news = [], [], [], []
-            sources = batch.column(len(keys)).to_pylist()
+            sources, langs = batch.column(len(keys)).to_pylist(), batch.column(len(keys) + 1).to_pylist()
             for k, name in enumerate(names):
-                for i, t in enumerate(batch.column(len(keys) + 1 + k).to_pylist()):
+                for i, t in enumerate(batch.column(len(keys) + 2 + k).to_pylist()):
                     if t and has_stand_in(t, new := speller.canonical(t, fields[name])):
-                        if fields[name] or reader is None or not reader.read(sources[i], t)[0]:
+                        if fields[name] or reader is None or not reader.read(sources[i], langs[i], t)[0]:
                             rows.append(i), which.append(name), olds.append(t), news.append(new)
             take = pa.array(rows, pa.int32())
             yield pa.RecordBatch.from_arrays([*(batch.column(k).take(take) for k in range(len(keys))), pa.array(which, pa.string()), pa.array(olds, pa.string()), pa.array(news, pa.string())], names=[*(f"key_{k}" for k in range(len(keys))), "field_name", "original", "canonical"])
@@ -187,8 +199,9 @@ def normalize_fields(df: DataFrame, fields: dict[str, bool], *, keys: list[str],
     some = F.lit(False)
     for k in range(len(names)):
         some = some | F.col(f"text_{k}").isNotNull()
+    lng = F.col(lang).cast("string") if lang else F.lit(None).cast("string")
     src = F.coalesce(F.col(source).cast("string"), F.lit("")) if source else F.lit("")
-    texts = df.select(*[F.col(c).alias(f"key_{k}") for k, c in enumerate(keys)], src.alias("source"), *[_suspect(F.col(c)).alias(f"text_{k}") for k, c in enumerate(names)]).filter(some)
+    texts = df.select(*[F.col(c).alias(f"key_{k}") for k, c in enumerate(keys)], src.alias("source"), lng.alias("lang"), *[_suspect(F.col(c)).alias(f"text_{k}") for k, c in enumerate(names)]).filter(some)
     types = ", ".join(f"key_{k} {texts.schema[f'key_{k}'].dataType.simpleString()}" for k in range(len(keys)))
     out = texts.mapInArrow(run, f"{types}, field_name string, original string, canonical string")
     return out.select(*[F.col(f"key_{k}").alias(c) for k, c in enumerate(keys)], "field_name", "original", "canonical")

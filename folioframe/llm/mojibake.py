@@ -1,85 +1,123 @@
 """Text garbled by a wrong decoding: which values, and their original wording.
 
 Method: an unknown swap of code pages is a substitution cipher of a source. The
-symbols of a cipher are the characters (or, where bytes of UTF-8 were read one
-by one, the runs of two to four characters) that stand for one letter. Weights of
-the ciphers of each source and their letter for each symbol are learned by
-expectation-maximization against the letter pairs of the whole corpus: the
-E-step gives each garbled-looking stretch to the ciphers under which it reads
-best, the M-step re-estimates weights and letters from these shares. The learned
-tables are then applied with ``translate()`` and kept where the result reads
-better than the text as it stands, by the posterior.
-
-Three passes over the texts, of which only counts are shuffled: letter pairs
-(bounded by the alphabet), stretches by source, and the application, in which a
-row never leaves its partition.
-
-Defined results: null, empty and ASCII values are never garbled; a value with
-U+FFFD is garbled and not recoverable; a C1 control character marks a garbled
-value even where no table reads it; a null source is a source of its own; copies
-of a record come out once in :func:`garbled_fields`; an empty table gives none.
+symbols of a cipher are the characters that stand for one letter, or, where the
+bytes of UTF-8 were read one by one, the runs of two to four characters. Weights
+and letters of the ciphers of each source are learned by expectation-maximization
+against letter pairs counted by language:
+    * the E-step reads every stretch of characters beyond ASCII under every cipher
+      of its source, gives it to the ciphers by the posterior, and for every symbol
+      in it gives the weight to the letters that its neighbours allow, whichever
+      letters the language has;
+    * the M-step adds up these shares and takes for each symbol the letter with the
+      most. Swaps of pages that are known are where ciphers start from; a cipher
+      ``free`` of each source starts from nothing, so that a swap that no list has
+      is learned from its contexts alone;
+    * the letter pairs are counted again as the stretches are read then, so that
+      frequent garbling doesn't pass for the language.
+The learned tables are then applied with ``translate()`` and kept where the result
+reads better than the text as it stands, by the posterior.
+
+Scale: pairs are counted over different texts, so a copied value counts once. The
+stretches are aggregated by source and language and written once; E-steps are passes
+over them in which any task takes any source, M-steps are sums, so a source with
+most of the rows is spread like all others. What the driver gets and broadcasts are
+pair counts (bounded by the alphabets), weights and the letters that differ from the
+starting tables, for ``block_sources`` sources at a time; more sources are learned
+and read block by block.
+
+Defined results: null, empty and ASCII values are never garbled, but numeric
+character references count as the characters they name; a value with U+FFFD is
+garbled and not recoverable; a C1 control character marks a garbled value even where
+no table reads it; a null source is a source of its own, a null language is read by
+the pairs of all; copies of a record come out once in :func:`garbled_fields`; an
+empty table gives none.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioframe.llm.chargrams import OTHER, PAGES, PairModel, page_chars, pair_counts
+from folioframe.llm.chargrams import PAGES, PairModel, page_chars, pair_counts
+from folioframe.session import cut_lineage
 
 RUN = re.compile(r"[^\x00-\x7f]+")
 C1 = re.compile("[\x80-\x9f]")
+REFERENCE = re.compile(r"&#(\d{2,7});")
 #: pages as which bytes of UTF-8 are read one by one
 SEEN = ("cp1252", "latin-1", "cp1250", "iso8859-2", "cp1251", "cp437", "cp850", "mac_roman", "cp1253", "cp1254", "cp866", "koi8-r")
 #: pages as which bytes of another single-byte page are read
 SWAPPED_SEEN = ("cp1252", "latin-1", "mac_roman", "cp437", "cp850", "cp1250", "cp1251", "koi8-r", "iso8859-2")
+FREE = "free"
+#: punctuation, currency, other symbols
+SIGNS = ("Pd", "Po", "Ps", "Pe", "Pi", "Pf", "Sc", "So", "Sk", "Zs")
+#: log weights that a page's cipher and a free one start with, and the least a cipher in use has
+START, FREE_START, LEAST = math.log(1e-3), math.log(1e-5), 1e-6
 
 
 class Cipher:
-    """Symbols to letters. ``long``: symbols of several characters."""
+    """Symbols to letters. ``lead`` and ``tail``: the characters of a page that begin and continue a letter in UTF-8."""
 
-    def __init__(self, name: str, table: dict[str, str]) -> None:
+    def __init__(self, name: str, table: dict[str, str], page: str | None = None) -> None:
         self.name, self.table = name, table
-        self.single = {ord(s): t for s, t in table.items() if len(s) == 1}
-        several = sorted((s for s in table if len(s) > 1), key=len, reverse=True)
-        self.sub = re.compile("|".join(map(re.escape, several))).sub if several else None
-        self.first = {s[0] for s in several}
+        self.single = {ord(s): t for s, t in table.items()}
+        self.sub = None
+        if page:
+            chars = page_chars(page)
+            self.byte = {c: b for b, c in enumerate(chars) if b > 127}
+            group = lambda a, z: "[" + re.escape("".join(chars[a:z])) + "]"
+            tail = group(0x80, 0xC0)
+            self.sub = re.compile(f"{group(0xC2, 0xE0)}{tail}|{group(0xE0, 0xF0)}{tail}{{2}}|{group(0xF0, 0xF5)}{tail}{{3}}").sub
+            self.lead = set(chars[0xC2:0xF5])
+
+            self.known: dict[str, str] = {}
+
+    def _letter(self, m: re.Match) -> str:
+        got = self.known.get(m[0])
+        if got is None:
+            if len(self.known) > 100_000:
+                self.known.clear()
+            try:
+                got = bytes(self.byte[c] for c in m[0]).decode("utf-8")
+            except UnicodeDecodeError:
+                got = m[0]
+            if not 127 < ord(got[0]) != 0xFFFD:
+                got = m[0]
+            self.known[m[0]] = got
+        return got
 
     def apply(self, text: str) -> str:
         if self.sub is None:
             return text.translate(self.single)
-        if self.first.isdisjoint(text):
+        if self.lead.isdisjoint(text):
             return text
-        table = self.table
-        return self.sub(lambda m: table[m[0]], text)
+        return self.sub(self._letter, text)
 
 
-def start_ciphers(letters: set[str]) -> list[Cipher]:
-    """All swaps of two pages, as ciphers over the letters the corpus has."""
-    out = []
-    for seen in SEEN:
-        chars = page_chars(seen)
-        table = {"".join(chars[b] for b in c.encode("utf-8")): c for c in letters if ord(c) > 127 and c != "�"}
-        out.append(Cipher(f"utf-8 as {seen}", table))
+def start_ciphers() -> dict[str, Cipher]:
+    """All swaps of two known pages, by name, and the free cipher."""
+    out = [Cipher(f"utf-8 as {seen}", {}, seen) for seen in SEEN]
     for seen in SWAPPED_SEEN:
         chars = page_chars(seen)
-        for script in ("central", "turkish", "cyrillic", "greek"):
-            for true in PAGES[script]:
-                if true == seen:
+        for script, trues in PAGES.items():
+            for true in trues:
+                if true == seen or (script == "latin" and seen in PAGES["central"]):
                     continue
                 own = page_chars(true)
                 table = {chars[b]: own[b] for b in range(128, 256) if chars[b] != own[b] and ord(own[b]) > 159 and chars[b] not in "\xa0\xad"}
-                if script in ("cyrillic", "greek"):  # its letters only: signs are the same business for all pages
+                if script in ("cyrillic", "greek", "latin"):  # its letters only: signs are the same business for all pages
                     table = {s: t for s, t in table.items() if t.isalpha()}
-                if seen in PAGES["cyrillic"] and script == "cyrillic" or seen not in PAGES["cyrillic"]:
+                if (seen in PAGES["cyrillic"]) == (script == "cyrillic") or seen not in PAGES["cyrillic"]:
                     out.append(Cipher(f"{true} as {seen}", table))
-    return out
+    out.append(Cipher(FREE, {}))
+    return {c.name: c for c in out}
 
 
 def stretches(text: str) -> list[tuple[int, int]]:
@@ -93,11 +131,20 @@ def framed(text: str, a: int, b: int) -> str:
     return (" " if left.isspace() else left) + text[a:b] + (" " if right.isspace() else right)
 
 
-#: pairs likelier than this are no sign of swapped pages
-USUAL = -9.5
+def only_signs(frame: str) -> bool:
+    """Whether a stretch is of signs alone that texts of any page have; no letters were swapped for them."""
+    return all(c < "\x80" or not c.isalpha() and unicodedata.category(c) in SIGNS for c in frame)
+
 
+def unescaped(text: str) -> str:
+    """The text with the characters beyond ASCII that numeric references name."""
+    if "&#" not in text:
+        return text
+    named = lambda m: chr(int(m[1])) if 127 < int(m[1]) < 0x110000 and not 0xD800 <= int(m[1]) < 0xE000 else m[0]
+    return REFERENCE.sub(named, text)
 
-def best_reading(frame: str, ciphers: list[tuple[Cipher, float]], model: PairModel, depth: int = 3) -> tuple[float, str, int]:
+
+def best_reading(frame: str, ciphers: list[tuple[Cipher, float]], score, knows, depth: int = 3) -> tuple[float, str, int]:
     """(score, reading, cipher no or -1) of the best cipher, which may have been applied several times."""
     best = (-math.inf, frame, -1)
     for k, (cipher, weight) in enumerate(ciphers):
@@ -107,166 +154,293 @@ def best_reading(frame: str, ciphers: list[tuple[Cipher, float]], model: PairMod
             if new == text:
                 break
             text, cost = new, cost + weight
-            if (score := model.score(text) + cost) > best[0]:
-                best = (score, text, k)
+            if knows(text) and (got := score(text) + cost) > best[0]:
+                best = (got, text, k)
         if cipher.sub and text != frame:  # a text garbled twice may have gone through two pages
             for other, w2 in ciphers:
-                if other is not cipher and other.sub and (new := other.apply(text)) != text and (score := model.score(new) + cost + w2) > best[0]:
-                    best = (score, new, k)
+                if other is not cipher and other.sub and (new := other.apply(text)) != text and knows(new) and (got := score(new) + cost + w2) > best[0]:
+                    best = (got, new, k)
     return best
 
 
-def learn_ciphers(frames: dict[str, int], model: PairModel, rounds: int = 4, start: float = 1e-3, least: float = 1e-6) -> list[tuple[str, dict[str, str], float]]:
-    """Expectation-maximization for one source: (name, table, log weight) of the ciphers in use.
+class Tables:
+    """The ciphers of each source in use: (cipher, log weight). What differs from the starting tables is kept by source."""
+
+    def __init__(self, start: dict[str, Cipher]) -> None:
+        self.start = start
+        self.weights: dict[str, dict[str, float]] = {}
+        self.letters: dict[tuple[str, str], dict[str, str]] = {}
+        self.fitted = False
+        self._made: dict[str, list] = {}
+
+    def __getstate__(self) -> tuple:
+        return self.weights, self.letters, self.fitted  # the starting tables are made anew where they are needed
+
+    def __setstate__(self, state: tuple) -> None:
+        self.weights, self.letters, self.fitted = state
+        self.start, self._made = start_ciphers(), {}
+
+    def of(self, source: str) -> list[tuple[Cipher, float]]:
+        if source not in self._made:
+            known = self.weights.get(source, {}) if self.fitted else {n: FREE_START if n == FREE else START for n in self.start}
+            self._made[source] = [(Cipher(n, {**self.start[n].table, **self.letters[source, n]}) if (source, n) in self.letters else self.start[n], w) for n, w in known.items()]
+        return self._made[source]
+
+
+def _letter_shares(read: str, i: int, model: PairModel, lang: str | None) -> list[tuple[str, float]]:
+    """The letters that may stand at a place between its neighbours, with their posterior."""
+    log, floor = model.table(lang), model.floor
+    left, right = read[i - 1], read[i + 1]
+    found = [(c, log.get(left + c, floor) + log.get(c + right, floor)) for c in model.between(lang, left, right)]
+    if not found:
+        return []
+    top = max(v for _, v in found)
+    mass = sum(math.exp(v - top) for _, v in found)
+    return [(c, p) for c, v in found if (p := math.exp(v - top) / mass) > 0.02]
+
+
+def _readings(frame: str, ciphers: list[tuple[Cipher, float]], model: PairModel, lang: str | None) -> list[tuple[float, float, Cipher, str]]:
+    """(score, log weight, cipher, reading) of a stretch under the ciphers that change it."""
+    score, seen, out, signs = model.scorer(lang), {}, [], only_signs(frame)
+    for cipher, weight in ciphers:
+        if cipher.name == FREE and not cipher.table:
+            read, weight = _free_reading(frame, model, lang), weight * (len(frame) - 2)
+        else:
+            read = cipher.apply(frame)
+        if read == frame or (signs and cipher.sub is None) or not model.knows(read):
+            continue
+        if read not in seen:
+            seen[read] = score(read)
+        got = seen[read]
+        if cipher.sub and (again := cipher.apply(read)) != read and model.knows(again) and (twice := score(again)) > got:
+            got, read = twice, again
+        out.append((got, weight, cipher, read))
+    return out
+
+
+def suspects(frames: DataFrame, model: PairModel, margin: float = 3.0) -> DataFrame:
+    """The stretches that some cipher reads not much worse than they stand; the others can't have gone through one."""
 
-    ``frames``: stretches with their counts, those that no cipher improves included in the weight of no cipher.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every = [(c, 0.0) for c in start_ciphers().values()]
+        verdict: dict[tuple, bool] = {}
+        for b in batches:
+            keep = []
+            for key in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+                if key not in verdict:
+                    if len(verdict) > 300_000:
+                        verdict.clear()
+                    lang, f = key
+                    plain = model.scorer(lang)(f)
+                    verdict[key] = any(v > plain - margin for v, _, _, _ in _readings(f, every, model, lang))
+                keep.append(verdict[key])
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    return frames.select("source", "lang", "frame", "n").mapInArrow(run, "source string, lang string, frame string, n bigint")
+
+
+def expectations(frames: DataFrame, model: PairModel, tables: Tables) -> DataFrame:
+    """(kind, owner, cipher, symbol, letter, x): the sums of the shares of all stretches.
+
+    ``total`` rows have the weight of a source's stretches that read better under
+    some cipher, ``weight`` rows a cipher's share of them, ``letter`` rows the share
+    of a letter for a symbol, ``pair`` rows what the pair counts of a language change
+    by when the stretches that read as garbled are taken as they read.
     """
-    ciphers = start_ciphers(set(model.letters))
-    weights = [math.log(start)] * len(ciphers)
-    total = sum(frames.values()) + 1
-    plain = {f: model.score(f) for f in frames}
-    live = list(range(len(ciphers)))
-    for at in range(rounds):
-        share = dict.fromkeys(live, 0.0)
-        letters: dict[int, dict[str, dict[str, float]]] = {k: {} for k in live}
-        for f, n in frames.items():
-            scored = []
-            for k in live:
-                if (text := ciphers[k].apply(f)) != f:
-                    again = ciphers[k].apply(text) if ciphers[k].sub else text
-                    scored.append((max(model.score(text), model.score(again)) + weights[k], k))
-            if not scored:
-                continue
-            top = max(max(s for s, _ in scored), plain[f])
-            mass = math.exp(plain[f] - top) + sum(math.exp(s - top) for s, _ in scored)
-            for s, k in scored:
-                r = n * math.exp(s - top) / mass
-                share[k] += r
-                if r > 0.01 * n and ciphers[k].sub is None:
-                    # evidence for every letter a symbol could stand for, between its neighbours as read now
-                    read = ciphers[k].apply(f)
-                    for i in range(1, len(f) - 1):
-                        if f[i] in ciphers[k].table or f[i] == OTHER:
-                            letters[k].setdefault(f[i], {}).setdefault(read[i - 1] + "_" + read[i + 1], 0.0)
-                            letters[k][f[i]][read[i - 1] + "_" + read[i + 1]] += r
-        weights = [math.log(max(share.get(k, 0.0) / total, least)) for k in range(len(ciphers))]
-        live = [k for k in live if share[k] / total > least]
-        if at == rounds - 1:
-            break
-        for k in live:  # M-step of the letters: the letter under which the contexts are likeliest
-            if ciphers[k].sub is None and letters[k]:
-                table = dict(ciphers[k].table)
-                for s, contexts in letters[k].items():
-                    choices = {table[s], s} | {c.table[s] for c in ciphers if c.sub is None and s in c.table and c.name.split(" as ")[1] == ciphers[k].name.split(" as ")[1] and c.table[s].isalpha() == table[s].isalpha()}
-                    fit = lambda t: sum(r * model.score(c.replace("_", t)) for c, r in contexts.items())  # noqa: B023, E731
-                    kept = fit(table[s])
-                    new = max(choices, key=fit)
-                    if fit(new) > kept + 2 and new != s:
-                        table[s] = new
-                ciphers[k] = Cipher(ciphers[k].name, table)
-    return [(ciphers[k].name, ciphers[k].table, weights[k]) for k in live]
-
-
-def _texts(df: DataFrame, source: str, columns: list[str], keep: list[str]) -> DataFrame:
-    high = [F.when(F.col(c).rlike(r"[^\x00-\x7f]"), F.col(c)).alias(f"text_{k}") for k, c in enumerate(columns)]
-    some = F.lit(False)
-    for k in range(len(columns)):
-        some = some | F.col(f"text_{k}").isNotNull()
-    return df.select(*[F.col(c).alias(f"key_{k}") for k, c in enumerate(keep)], F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"), *high).filter(some)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[tuple, float] = {}
 
-def learn(df: DataFrame, *, source: str = "source", columns: list[str] | None = None, max_sources: int = 500) -> tuple[PairModel, dict[str, list]]:
-    """The letter pairs of the corpus and the ciphers of its sources.
+        def add(key: tuple, x: float) -> None:
+            total[key] = total.get(key, 0.0) + x
 
-    Sources beyond the ``max_sources`` with the most suspect stretches share
-    tables learned from all sources (key ``None``), so that what is broadcast
-    stays bounded; nothing is left out.
-    """
-    columns = columns or ["label", "help_text"]
-    model = PairModel.of(pair_counts(df, columns))
-    start = [(c, 0.0) for c in start_ciphers(set(model.letters))]
-    several = [(c, w) for c, w in start if c.sub]
+        for b in batches:
+            for source, lang, f, n in zip(*(c.to_pylist() for c in b.columns)):
+                plain = model.scorer(lang)(f)
+                scored = _readings(f, tables.of(source), model, lang)
+                if not scored:
+                    continue
+                if max(v for v, _, _, _ in scored) > plain + 3:
+                    add(("total", source, "", "", ""), n)
+                top = max(max(v + w for v, w, _, _ in scored), plain)
+                mass = math.exp(plain - top) + sum(math.exp(v + w - top) for v, w, _, _ in scored)
+                for v, w, cipher, read in scored:
+                    r = math.exp(v + w - top) / mass
+                    if r < 1e-4:
+                        continue
+                    add(("weight", source, cipher.name, "", ""), n * r)
+                    if r < 0.05 or cipher.sub is not None:
+                        continue
+                    for i in range(1, len(f) - 1):
+                        if read[i] != f[i] or cipher.name == FREE:
+                            for letter, p in _letter_shares(read, i, model, lang):
+                                add(("letter", source, cipher.name, f[i], letter), n * r * p)
+                v, w, _, read = max(scored, key=lambda x: x[0] + x[1])
+                if lang is not None and v + w > plain + 2:
+                    for text, sign in ((f, -n), (read, n)):
+                        for pair in map(str.__add__, text, text[1:]):
+                            if not pair.isascii():
+                                add(("pair", lang, "", pair[0], pair[1]), sign)
+            if len(total) > 200_000:
+                yield _summed(total)
+                total = {}
+        yield _summed(total)
+
+    shape = "kind string, owner string, cipher string, symbol string, letter string, x double"
+    return frames.mapInArrow(run, shape).groupBy("kind", "owner", "cipher", "symbol", "letter").agg(F.sum("x").alias("x"))
+
+
+def _summed(total: dict) -> pa.RecordBatch:
+    keys = list(total)
+    cols = [pa.array([k[i] for k in keys], pa.string()) for i in range(5)]
+    return pa.RecordBatch.from_arrays([*cols, pa.array(list(total.values()), pa.float64())], names=["kind", "owner", "cipher", "symbol", "letter", "x"])
+
+
+def _free_reading(frame: str, model: PairModel, lang: str | None) -> str:
+    """The likeliest letters between ASCII neighbours, where the symbol itself is hardly ever met there."""
+    if len(frame) != 3 or not (frame[0] + frame[2]).isascii():
+        return frame
+    log, floor = model.table(lang), model.floor
+    here = log.get(frame[:2], floor) + log.get(frame[1:], floor)
+    best, letter = max(((log.get(frame[0] + c, floor) + log.get(c + frame[2], floor), c) for c in model.between(lang, frame[0], frame[2])), default=(-math.inf, frame[1]))
+    return frame[0] + letter + frame[2] if best > here + 4 else frame
+
+
+def frames_of(df: DataFrame, *, source: str, lang: str | None, columns: list[str]) -> DataFrame:
+    """(source, lang, frame, n): the stretches beyond ASCII of different texts, with their neighbours."""
+    src, lng = F.coalesce(F.col(source).cast("string"), F.lit("")), F.col(lang).cast("string") if lang else F.lit(None).cast("string")
+    texts = df.select(src.alias("source"), lng.alias("lang"), F.explode(F.array(*[F.col(c) for c in columns])).alias("text")).filter(_marked(F.col("text"))).distinct()
 
-    def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        verdict: dict[str, bool] = {}
-        counts: dict[tuple[str, str], int] = {}
-        for batch in batches:
-            cols = [c.to_pylist() for c in batch.columns]
-            for source_of, *texts in zip(*cols):
-                for t in texts:
-                    for a, b in stretches(t) if t else ():
-                        f = framed(t, a, b)[:60]
-                        bad = verdict.get(f)
-                        if bad is None:
-                            if len(verdict) > 300_000:
-                                verdict.clear()
-                            using = start if model.rarest(f) < USUAL else several
-                            bad = verdict[f] = best_reading(f, using, model, 2)[0] > model.score(f) + 3
-                        if bad:
-                            counts[source_of, f] = counts.get((source_of, f), 0) + 1
-            if len(counts) > 100_000:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[tuple, int] = {}
+        for b in batches:
+            for s, g, t in zip(*(c.to_pylist() for c in b.columns)):
+                t = unescaped(t)
+                for a, z in stretches(t):
+                    key = s, g, framed(t, a, z)
+                    counts[key] = counts.get(key, 0) + 1
+            if len(counts) > 200_000:
                 yield _counted(counts)
                 counts = {}
         yield _counted(counts)
 
-    texts = _texts(df, source, columns, []).select("source", *[f"text_{k}" for k in range(len(columns))])
-    found = texts.mapInArrow(suspects, "source string, frame string, n bigint").groupBy("source", "frame").agg(F.sum("n").alias("n"))
+    # a stretch of a language goes to one task, whatever its sources, and is judged once there
+    return texts.mapInArrow(run, "source string, lang string, frame string, n bigint").repartition("lang", "frame").groupBy("source", "lang", "frame").agg(F.sum("n").alias("n"))
 
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        got = learn_ciphers(dict(zip(pdf["frame"], pdf["n"])), model)
-        rows = [(pdf["source"].iloc[0], int(pdf["n"].sum()), name, w, list(t), list(t.values())) for name, t, w in got]
-        return pd.DataFrame(rows, columns=["source", "n", "cipher", "weight", "symbols", "letters"])
 
-    fitted = found.groupBy("source").applyInPandas(fit, "source string, n bigint, cipher string, weight double, symbols array<string>, letters array<string>")
-    rows = fitted.orderBy(F.col("n").desc()).limit(max_sources * 200).collect()
-    learned: dict[str | None, list] = {}
+def _counted(counts: dict) -> pa.RecordBatch:
+    keys = list(counts)
+    return pa.RecordBatch.from_arrays([*(pa.array([k[i] for k in keys], pa.string()) for i in range(3)), pa.array(list(counts.values()), pa.int64())], names=["source", "lang", "frame", "n"])
+
+
+def _marked(c: Column) -> Column:
+    return c.rlike(r"[^\x00-\x7f]|&#\d")
+
+
+def maximize(rows: list, tables: Tables, *, prior: float = 3.0, enough: float = 5.0) -> None:
+    """The M-step: weights, and for each symbol the letter with the most weight; the starting letter has ``prior`` on top.
+
+    Where there is no letter to start from, contexts must agree on one.
+    """
+    totals = {r.owner: r.x for r in rows if r.kind == "total"}
+    weights: dict[str, dict[str, float]] = {s: {} for s in totals}
+    shares: dict[tuple, dict[str, float]] = {}
     for r in rows:
-        if r.source in learned or len(learned) < max_sources:
-            learned.setdefault(r.source, []).append((Cipher(r.cipher, dict(zip(r.symbols, r.letters))), r.weight))
-    pooled: dict[str, list] = {}
-    for ciphers in learned.values():
-        for c, w in ciphers:
-            pooled.setdefault(c.name, []).append((c, w))
-    learned[None] = [(v[0][0], sum(w for _, w in v) / len(v)) for v in pooled.values()]
-    return model, learned
+        if r.kind == "weight" and r.owner in totals and r.x / (totals[r.owner] + 1) > LEAST:
+            weights[r.owner][r.cipher] = min(math.log(r.x / (totals[r.owner] + 1)), 0.0)
+        elif r.kind == "letter":
+            shares.setdefault((r.owner, r.cipher, r.symbol), {})[r.letter] = r.x
+    letters: dict[tuple[str, str], dict[str, str]] = {}
+    for (owner, cipher, symbol), every in shares.items():
+        letter = max(every, key=every.get)
+        at_first = tables.start[cipher].table.get(symbol)
+        sure = every[letter] > 0.5 * sum(every.values()) if at_first is None else every[letter] > 2 * (every.get(at_first, 0.0) + prior)
+        if letter not in (symbol, at_first) and every[letter] >= enough and sure:
+            letters.setdefault((owner, cipher), {})[symbol] = letter
+    for owner, known in weights.items():
+        if FREE in known and (owner, FREE) not in letters:
+            del known[FREE]
+    tables.weights, tables.letters, tables._made = weights, letters, {}
+    tables.fitted = True
+
+
+def learn(df: DataFrame, *, source: str = "source", lang: str | None = "lang", columns: list[str] | None = None, rounds: int = 3, block_sources: int = 500) -> list[tuple[int, int, PairModel, Tables]]:
+    """(blocks, block no, letter pairs, tables) of each block of sources."""
+    columns = columns or ["label", "help_text"]
+    lang = lang if lang in df.columns else None
+    counts = pair_counts(df, columns, lang=lang)
+    model = PairModel.of(counts)
+    frames = cut_lineage(suspects(frames_of(df, source=source, lang=lang, columns=columns), model))
+    # few bytes, much work: spread by the number of stretches, not by their size
+    frames = frames.repartition(max(df.sparkSession.sparkContext.defaultParallelism, frames.count() // 20_000))
+    blocks = max(1, -(-frames.select("source").distinct().count() // block_sources))
+    out = []
+    for n in range(blocks):
+        mine, tables, own = frames.filter(_in_block("source", blocks, n)), Tables(start_ciphers()), model
+        for at in range(rounds):
+            rows = expectations(mine, own, tables).collect()  # the block's sources times ciphers and alphabets, languages times pairs
+            maximize(rows, tables)
+            if at < rounds - 1:
+                own = model.corrected({(r.owner, r.symbol + r.letter): r.x for r in rows if r.kind == "pair"})
+        out.append((blocks, n, own, tables))
+    return out
 
 
-def _counted(counts: dict) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([s for s, _ in counts], pa.string()), pa.array([f for _, f in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], names=["source", "frame", "n"])
+def _in_block(source: Column | str, blocks: int, n: int) -> Column:
+    return F.pmod(F.xxhash64(source), F.lit(blocks)) == n
+
+
+def save(fitted: list[tuple[int, int, PairModel, Tables]], spark, path: str) -> None:
+    """Keep what :func:`learn` gave in a folder all executors share."""
+    import pickle
+
+    spark.createDataFrame([(blocks, n, bytearray(pickle.dumps((model, tables)))) for blocks, n, model, tables in fitted], "blocks int, n int, fitted binary").write.mode("overwrite").parquet(path)
+
+
+def load(spark, path: str) -> list[tuple[int, int, PairModel, Tables]]:
+    import pickle
+
+    return [(r.blocks, r.n, *pickle.loads(bytes(r.fitted))) for r in spark.read.parquet(path).orderBy("n").collect()]
 
 
 class Reader:
     """Garbled stretches and their readings under the learned tables, with a cache of bounded size."""
 
-    def __init__(self, model: PairModel, learned: dict, margin: float = 2.0, sure: int = 4) -> None:
-        self.model, self.margin, self.sure = model, margin, sure
-        self.learned = {s: ([x for x in c if x[0].sub], [x for x in c if not x[0].sub]) for s, c in learned.items()}
-        self.cache: dict[tuple[str, str], tuple[bool, str, list[int]]] = {}
+    def __init__(self, model: PairModel, tables: Tables, margin: float = 2.0, sure: int = 4) -> None:
+        self.model, self.tables, self.margin, self.sure = model, tables, margin, sure
+        self.split: dict[str, tuple[list, list]] = {}
+        self.cache: dict[tuple, tuple[bool, str, list[int]]] = {}
+
+    def ciphers(self, source: str) -> tuple[list, list]:
+        if source not in self.split:
+            known = self.tables.of(source)
+            self.split[source] = [x for x in known if x[0].sub], [x for x in known if not x[0].sub]
+        return self.split[source]
 
-    def stretch(self, source: str, frame: str) -> tuple[bool, str, list[int]]:
+    def stretch(self, source: str, lang: str | None, frame: str) -> tuple[bool, str, list[int]]:
         """(garbled by itself, its reading, the single-byte ciphers under which it reads better)."""
-        key = (source, frame)
+        key = (source, lang, frame)
         got = self.cache.get(key)
         if got is None:
             if len(self.cache) > 300_000:
                 self.cache.clear()
-            several, single = self.learned.get(source, self.learned[None])
-            plain = self.model.score(frame)
-            score, text, _ = best_reading(frame, several, self.model)
-            marked = "�" in frame or C1.search(frame) is not None
-            if score > plain + (0 if marked else self.margin):
+            several, single = self.ciphers(source)
+            score_of = self.model.scorer(lang)
+            plain = score_of(frame)
+            score, text, _ = best_reading(frame, several, score_of, self.model.knows)
+            marked = "\ufffd" in frame or C1.search(frame) is not None
+            swapped = [] if only_signs(frame) else [(score_of(t) + w, k) for k, (c, w) in enumerate(single) if (t := c.apply(frame)) != frame]
+            if score > plain + (0 if marked else self.margin) and score >= max(swapped, default=(score, 0))[0]:
                 got = (True, text, [])
-            elif self.model.rarest(frame) >= USUAL:
-                got = (marked, frame, [])
             else:
-                got = (marked, frame, [k for k, (c, w) in enumerate(single) if (t := c.apply(frame)) != frame and self.model.score(t) + w > plain])
+                got = (marked, frame, [k for v, k in swapped if v > plain])
             self.cache[key] = got
         return got
 
-    def _swapped(self, source: str, frames: list[str], better: set[int]) -> dict[int, str]:
+    def _swapped(self, source: str, lang: str | None, frames: list[str], better: set[int]) -> dict[int, str]:
         """Readings of the stretches under the one single-byte cipher that suits the whole value, by place."""
-        single = self.learned.get(source, self.learned[None])[1]
-        score = self.model.score
+        single = self.ciphers(source)[1]
+        score = self.model.scorer(lang)
         best, out = self.margin, {}
         for k in better:
             cipher, weight = single[k]
@@ -278,15 +452,16 @@ class Reader:
                 out = {i: t for i, t in read.items() if sum(a != b for a, b in zip(t, frames[i])) >= self.sure and score(t) + weight > score(frames[i]) + self.margin}
         return out
 
-    def read(self, source: str, text: str) -> tuple[bool, str, bool]:
+    def read(self, source: str, lang: str | None, text: str) -> tuple[bool, str, bool]:
         """(garbled, the text as read, whether all of it could be read)."""
+        text = unescaped(text)
         spans = stretches(text)
         frames = [framed(text, a, b) for a, b in spans]
-        got = [self.stretch(source, f) for f in frames]
+        got = [self.stretch(source, lang, f) for f in frames]
         readings = {i: t for i, (bad, t, _) in enumerate(got) if bad}
         if better := {k for _, _, ks in got for k in ks}:
             rest = [i for i, (_, t, _) in enumerate(got) if t == frames[i]]
-            readings.update({rest[j]: t for j, t in self._swapped(source, [frames[i] for i in rest], better).items()})
+            readings.update({rest[j]: t for j, t in self._swapped(source, lang, [frames[i] for i in rest], better).items()})
         if not readings:
             return False, text, True
         out, at = [], 0
@@ -295,29 +470,42 @@ class Reader:
                 out += (text[at:a], readings[i][1:-1])
                 at = b
         fixed = "".join(out) + text[at:]
-        return True, fixed, "�" not in fixed and C1.search(fixed) is None
+        return True, fixed, "\ufffd" not in fixed and C1.search(fixed) is None
 
 
-def repair(df: DataFrame, *, keys: list[str] | None = None, source: str = "source", columns: list[str] | None = None, fitted: tuple | None = None) -> DataFrame:
+def repair(df: DataFrame, *, keys: list[str] | None = None, source: str = "source", lang: str | None = "lang", columns: list[str] | None = None, fitted: list | None = None) -> DataFrame:
     """(keys, field_name, garbled text, restored text or null, recoverable) of every garbled value, for each row."""
     keys, columns = keys or ["element_id"], columns or ["label", "help_text"]
-    model, learned = fitted or learn(df, source=source, columns=columns)
+    lang = lang if lang in df.columns else None
+    out = None
+    for blocks, n, model, tables in fitted or learn(df, source=source, lang=lang, columns=columns):
+        part = _repair_block(df, keys, source, lang, columns, blocks, n, model, tables)
+        out = part if out is None else out.unionByName(part)
+    return out
+
 
+def _repair_block(df: DataFrame, keys: list[str], source: str, lang: str | None, columns: list[str], blocks: int, n: int, model: PairModel, tables: Tables) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(model, learned)
+        reader = Reader(model, tables)
         for batch in batches:
             rows, fields, olds, news = [], [], [], []
-            sources = batch.column(len(keys)).to_pylist()
+            sources, langs = batch.column(len(keys)).to_pylist(), batch.column(len(keys) + 1).to_pylist()
             for k, name in enumerate(columns):
-                for i, t in enumerate(batch.column(len(keys) + 1 + k).to_pylist()):
+                for i, t in enumerate(batch.column(len(keys) + 2 + k).to_pylist()):
                     if t:
-                        bad, text, whole = reader.read(sources[i], t)
+                        bad, text, whole = reader.read(sources[i], langs[i], t)
                         if bad:
                             rows.append(i), fields.append(name), olds.append(t), news.append(text if whole else None)
             take = pa.array(rows, pa.int32())
             yield pa.RecordBatch.from_arrays([*(batch.column(k).take(take) for k in range(len(keys))), pa.array(fields, pa.string()), pa.array(olds, pa.string()), pa.array(news, pa.string())], names=[*(f"key_{k}" for k in range(len(keys))), "field_name", "garbled", "restored"])
 
-    texts = _texts(df, source, columns, keys)
+    marked = [F.when(_marked(F.col(c)), F.col(c)).alias(f"text_{k}") for k, c in enumerate(columns)]
+    some = F.lit(False)
+    for k in range(len(columns)):
+        some = some | F.col(f"text_{k}").isNotNull()
+    lng = F.col(lang).cast("string") if lang else F.lit(None).cast("string")
+    texts = df.select(*[F.col(c).alias(f"key_{k}") for k, c in enumerate(keys)], F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"), lng.alias("lang"), *marked).filter(some)
+    texts = texts.filter(_in_block("source", blocks, n)) if blocks > 1 else texts
     types = ", ".join(f"key_{k} {texts.schema[f'key_{k}'].dataType.simpleString()}" for k in range(len(keys)))
     out = texts.mapInArrow(run, f"{types}, field_name string, garbled string, restored string")
     return out.select(*[F.col(f"key_{k}").alias(c) for k, c in enumerate(keys)], "field_name", "garbled", "restored", F.col("restored").isNotNull().alias("recoverable"))

@@ -68,9 +68,9 @@ def p5_rebuilt(spark: SparkSession, d: str) -> DataFrame:
 
 def _canonical(spark: SparkSession, d: str) -> DataFrame:
     elements, sections = table(spark, d, "partial_elements"), table(spark, d, "partial_sections")
-    fitted = mojibake.learn(elements, columns=["label"])
+    fitted = mojibake.learn(elements)  # as p1_found learns
     a = lookalike.normalize_fields(elements, {"label": False, "code": True}, keys=["element_id"], source="source", fitted=fitted)
-    b = lookalike.normalize_fields(sections, {"label": False}, keys=["section_id"], model=fitted[0])
+    b = lookalike.normalize_fields(sections, {"label": False}, keys=["section_id"], model=fitted[0][2])
     name = lambda df, t, key: df.selectExpr(f"'{t}' as source_table", f"{key} as record_id", "field_name", "original", "canonical")
     return name(a, "partial_elements", "element_id").unionByName(name(b, "partial_sections", "section_id")).distinct()
 
