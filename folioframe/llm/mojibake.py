@@ -243,7 +243,8 @@ def expectations(frames: DataFrame, model: PairModel, tables: Tables) -> DataFra
     """(kind, owner, cipher, symbol, letter, x): the sums of the shares of all stretches.
 
     ``total`` rows have the weight of a source's stretches that read better under
-    some cipher, ``weight`` rows a cipher's share of them, ``letter`` rows the share
+    some cipher, ``symbol`` rows in how many stretches of a source a character stands
+    (with an empty symbol: all of them), ``weight`` rows a cipher's share of them, ``letter`` rows the share
     of a letter for a symbol, ``pair`` rows what the pair counts of a language change
     by when the stretches that read as garbled are taken as they read.
     """
@@ -256,6 +257,9 @@ def expectations(frames: DataFrame, model: PairModel, tables: Tables) -> DataFra
 
         for b in batches:
             for source, lang, f, n in zip(*(c.to_pylist() for c in b.columns)):
+                for c in set(f[1:-1]):
+                    add(("symbol", source, FREE, c, ""), n)
+                add(("symbol", source, FREE, "", ""), n)
                 plain = model.scorer(lang)(f)
                 scored = _readings(f, tables.of(source), model, lang)
                 if not scored:
@@ -337,11 +341,26 @@ def _marked(c: Column) -> Column:
     return c.rlike(r"[^\x00-\x7f]|&#\d")
 
 
-def maximize(rows: list, tables: Tables, *, prior: float = 3.0, enough: float = 5.0) -> None:
+def maximize(rows: list, tables: Tables, *, prior: float = 3.0, enough: float = 5.0, peculiar: float = 20.0) -> None:
     """The M-step: weights, and for each symbol the letter with the most weight; the starting letter has ``prior`` on top.
 
-    Where there is no letter to start from, contexts must agree on one.
+    Where there is no letter to start from, contexts must agree on one, no two symbols
+    may stand for the same letter, and the symbol must be peculiar to its source:
+    ``peculiar`` times as frequent there as in all others. A corpus of one source has
+    no free cipher.
     """
+    seen: dict[str, dict[str, float]] = {}
+    for r in rows:
+        if r.kind == "symbol":
+            seen.setdefault(r.symbol, {})[r.owner] = r.x
+    stretches_of = seen.get("", {})
+    every_stretch = sum(stretches_of.values())
+
+    def own_symbol(owner: str, symbol: str) -> bool:
+        rest = every_stretch - stretches_of[owner]
+        here = seen[symbol].get(owner, 0.0)
+        return rest > 0 and here / stretches_of[owner] > peculiar * (sum(seen[symbol].values()) - here) / rest
+
     totals = {r.owner: r.x for r in rows if r.kind == "total"}
     weights: dict[str, dict[str, float]] = {s: {} for s in totals}
     shares: dict[tuple, dict[str, float]] = {}
@@ -351,8 +370,10 @@ def maximize(rows: list, tables: Tables, *, prior: float = 3.0, enough: float =
         elif r.kind == "letter":
             shares.setdefault((r.owner, r.cipher, r.symbol), {})[r.letter] = r.x
     letters: dict[tuple[str, str], dict[str, str]] = {}
-    for (owner, cipher, symbol), every in shares.items():
+    for (owner, cipher, symbol), every in sorted(shares.items(), key=lambda x: -max(x[1].values())):
         letter = max(every, key=every.get)
+        if cipher == FREE and (not own_symbol(owner, symbol) or letter in letters.get((owner, FREE), {}).values()):
+            continue
         at_first = tables.start[cipher].table.get(symbol)
         sure = every[letter] > 0.5 * sum(every.values()) if at_first is None else every[letter] > 2 * (every.get(at_first, 0.0) + prior)
         if letter not in (symbol, at_first) and every[letter] >= enough and sure:
