@@ -8,24 +8,30 @@ Method: three kinds of evidence are put together for each document.
       a subject (page, session, script, ...) with the predicate that goes with it
       (not found, expired, enable, ...), and nothing in them that talks about
       such a notice (a question, a quotation, a narrator, a table row);
-    * for blocks that have only a subject: the address slug of the document (the
-      folder in its path) against the terms that lead documents with this slug,
-      and the block's duplicates over all hosts (``source``). A block is flagged
-      where the lead of its document has none of its slug's terms, the document
-      holds little else, and the same block stands in several documents.
-
-The text is read once for the detectors and once for the leads; only blocks with
-a subject and nothing more are shuffled, by hash, after counting.
+    * for blocks of low information that have only a subject: a server gives the
+      same response whatever page was asked for. So such a block is flagged where
+      it came from several hosts (``source``) and under several address slugs (the
+      folder in its path), and where it has nothing to do with the document it
+      stands in: none of its longer words is met in the document's title, in the
+      rest of its body, or among the terms that lead documents with its slug.
+
+Scale: one pass looks up the parts without which no detector can match, all of them
+at once in an automaton; only texts with such a part go on to the patterns, which
+judge whole texts. Only blocks with a subject and nothing more are shuffled, by
+hash, after counting.
 
 Defined results: null, empty and blank texts are no cases; copies of a document
-(same id) come out once; a null path or source only means that the slug evidence
-is missing; whole texts of any length are used; an empty table gives no rows.
+(same id) come out once; a null path or source only means that the slug or host
+evidence is missing; whole texts of any length are used; an empty table gives no
+rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import re
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -106,10 +112,65 @@ def _parts(parts: Iterable[str]) -> tuple[str, ...]:
 NOTICE_PARTS = _parts(p for parts, _ in NOTICES for p in parts)
 
 
+SUBJECT_PARTS = _parts("script,js,page,página,seite,страниц,strona,sayfa,browser,server,serveur,servidor,сервер,sunucu,service,session,login,signed out,log in,access,acesso,acceso,accès,denied,gateway,forbidden,unauthori,not found,error,exception,fatal,traceback,maintenance,wartung,permission,upstream,retry-after,too many requests,overloaded".split(","))
+FAMILIES = {"latin": _parts(LATIN_PARTS), "keys": _parts(KEY_PARTS), "sentence": _parts(SENTENCE_PARTS), "notice": NOTICE_PARTS, "subject": SUBJECT_PARTS}
+_FOLDS = (("İ", "i"), ("ı", "i"), ("ſ", "s"), ("ς", "σ"))
+
+
+class Scanner:
+    """The families of parts that a text has, told in one pass over it."""
+
+    def __init__(self) -> None:
+        import ahocorasick
+
+        owners: dict[str, set[str]] = {}
+        for family, parts in FAMILIES.items():
+            for p in parts:
+                owners.setdefault(p, set()).add(family)
+        self.find = ahocorasick.Automaton()
+        for p, families in owners.items():
+            self.find.add_word(p, frozenset(families))
+        self.find.make_automaton()
+        self.short = re.compile(LATIN_SHORT).search
+        self.frame = re.compile(FRAME).search
+        self.breaks = re.compile(rf"[\n\r]\s*{MARKS}|\s{{2,}}|[\t\n\x0b\f\r]").sub
+
+    def families(self, text: str) -> set[str]:
+        line = self.breaks(" ", text)
+        if not line.isascii():
+            for a, b in _FOLDS:
+                line = line.replace(a, b)
+        line = line.lower()
+        out: set[str] = set()
+        for _, families in self.find.iter(line):
+            out |= families
+            if len(out) == len(FAMILIES):
+                break
+        if "latin" not in out and self.short(line):
+            out.add("latin")
+        if "notice" not in out and self.frame(text):
+            out.add("notice")
+        return out
+
+
+def scanned(docs: DataFrame) -> DataFrame:
+    """The documents (k, slug, host, t, field, same) with a flag for each family, without those in which nothing can match."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scan = Scanner()
+        for b in batches:
+            found = [scan.families(t) for t in b.column(3).to_pylist()]
+            flags = [pa.array([f in x for x in found], pa.bool_()) for f in FAMILIES]
+            keep = pa.array([bool(x) or field or same for x, field, same in zip(found, b.column(4).to_pylist(), b.column(5).to_pylist())], pa.bool_())
+            yield pa.RecordBatch.from_arrays([*b.columns, *flags], names=[*b.schema.names, *FAMILIES]).filter(keep)
+
+    head = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema.fields)
+    return docs.mapInArrow(run, head + "".join(f", {f} boolean" for f in FAMILIES))
+
+
 def is_filler(t: Column) -> Column:
-    f = _folded(t)
-    latin = (_has(f, LATIN_PARTS) | f.rlike(LATIN_SHORT)) & t.rlike(LATIN_ROW)
-    return latin | (_has(f, KEY_PARTS) & t.rlike(KEY_ROW)) | t.rlike(SAME_ROW) | (_has(f, _parts(SENTENCE_PARTS)) & t.rlike(FILLER_SENTENCE))
+    """Of a scanned text."""
+    return F.col("same") | (F.col("latin") & t.rlike(LATIN_ROW)) | (F.col("keys") & t.rlike(KEY_ROW)) | (F.col("sentence") & t.rlike(FILLER_SENTENCE))
 
 
 #: marks of headings, quotes, list entries and stress before a line
@@ -150,10 +211,8 @@ def _notice(b: Column) -> Column:
 
 
 def has_notice(text: Column) -> Column:
-    """Whether a block reads as a notice; texts without any part of one aren't split."""
-    # the blocks of a text, collapsed, stand in the text collapsed
-    line = _folded(F.regexp_replace(text, rf"[\n\r]\s*{MARKS}|\s{{2,}}|[\t\n\x0b\f\r]", " "))
-    return F.when(_has(line, NOTICE_PARTS) | text.rlike(FRAME), F.exists(blocks(text), _notice)).otherwise(False)
+    """Whether a block of a scanned text reads as a notice."""
+    return F.when(F.col("notice"), F.exists(blocks(text), _notice)).otherwise(False)
 
 
 def slug_terms(df: DataFrame, least_share: float = 0.02) -> DataFrame:
@@ -167,31 +226,41 @@ def slug_terms(df: DataFrame, least_share: float = 0.02) -> DataFrame:
     return lead.groupBy("slug", "w").count().join(totals, "slug").filter(F.col("count") >= least_share * F.col("docs")).groupBy("slug").agg(F.collect_set("w").alias("terms"))
 
 
-def find_residue(df: DataFrame, *, key: str = "doc_id", text: str = "text", path: str = "path", host: str = "source", copies: int = 3, low_words: int = 60) -> DataFrame:
+#: words long enough to say what a text is about
+LONG_WORD = r"\p{L}{5,}"
+
+
+def _long_words(t: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower(t), F.lit(LONG_WORD), F.lit(0)))
+
+
+def find_residue(df: DataFrame, *, key: str = "doc_id", text: str = "text", path: str = "path", host: str = "source", hosts: int = 2, slugs: int = 2, low_words: int = 60) -> DataFrame:
     """(key, field, filler, notice, mismatch): the documents to leave out, with the evidence for each.
 
-    ``copies``: documents that must share a block that has only a subject;
-    ``low_words``: words up to which a document holds little else.
+    ``hosts`` and ``slugs``: how many of both a block that has only a subject must
+    have come from; ``low_words``: words up to which a block is of low information.
     """
     t = F.col("t")
-    docs = df.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"), F.element_at(F.split(path, "/"), -2).alias("slug") if path in df.columns else F.lit(None).cast("string").alias("slug"), F.col(host).cast("string").alias("host") if host in df.columns else F.lit(None).cast("string").alias("host")).filter(F.length(F.trim(t)) > 0)
-    # the first eight words stand for the title and the lead; the body is judged whole
-    lead = F.slice(F.regexp_extract_all(F.lower(F.substring(t, 1, 200)), F.lit(r"[\p{L}]+"), F.lit(0)), 1, 8).alias("lead")
-    judged = docs.select("k", "slug", "host", t.rlike(FIELD).alias("field"), is_filler(t).alias("filler"), has_notice(t).alias("notice"), "t", lead)
+    place = lambda c: F.col(c).cast("string") if c in df.columns else F.lit(None).cast("string")
+    docs = df.select(F.col(key).alias("k"), F.get(F.split(place(path), "/"), F.size(F.split(place(path), "/")) - 2).alias("slug"), place(host).alias("host"), F.col(text).cast("string").alias("t")).filter(F.length(F.trim(t)) > 0)
+    found = scanned(docs.select("*", t.rlike(FIELD).alias("field"), t.rlike(SAME_ROW).alias("same")))
+    judged = found.select("k", "slug", "host", "t", "subject", "field", is_filler(t).alias("filler"), has_notice(t).alias("notice"))
     direct = F.col("field") | F.col("filler") | F.col("notice")
-    few = F.size(F.split("t", r"\s+", low_words + 1)) <= low_words
-    low = F.when(direct | ~few, False).otherwise(t.rlike(SUBJECT))
-    evident = cut_lineage(judged.withColumn("low", low).filter(direct | F.col("low")).withColumn("t", F.when(F.col("low"), t)))
+    evident = cut_lineage(judged.filter(direct | F.col("subject")).withColumn("t", F.when(~direct, t)))
     flagged = evident.filter(direct).select("k", "field", "filler", "notice", F.lit(False).alias("mismatch"))
 
-    # blocks with a subject only: duplicates over hosts, and the slug against the lead
+    # blocks with a subject only: the same response from several hosts and under several slugs, that has nothing to do with its document
     masked = lambda b: F.xxhash64(F.regexp_replace(F.lower(b), r"[0-9a-f]{8,}|\d+", "0"))
-    weak = evident.filter("low")
-    weak = weak.select("k", "slug", "host", "lead", F.explode(F.filter(subject_blocks(t), lambda b: ~b.rlike(TALK))).alias("b")).withColumn("h", masked(F.col("b")))
-    common = weak.groupBy("h").agg(F.countDistinct("k").alias("docs"), F.countDistinct("host").alias("hosts")).filter(F.col("docs") >= copies)
-    leads = docs.select("slug", lead)
-    suspects = weak.join(common, "h").join(slug_terms(leads), "slug").filter(~F.arrays_overlap("lead", "terms"))
-    mismatched = suspects.select("k", F.lit(False).alias("field"), F.lit(False).alias("filler"), F.lit(False).alias("notice"), F.lit(True).alias("mismatch"))
+    few = lambda b: F.size(F.split(b, r"\s+", low_words + 1)) <= low_words
+    weak = evident.filter(~direct).select("k", "slug", "host", "t", F.explode(F.filter(subject_blocks(t), lambda b: few(b) & ~b.rlike(TALK))).alias("b")).withColumn("h", masked(F.col("b")))
+    common = weak.groupBy("h").agg(F.countDistinct("host").alias("n_hosts"), F.countDistinct("slug").alias("n_slugs")).filter((F.col("n_hosts") >= hosts) & (F.col("n_slugs") >= slugs)).select("h")
+    rest = F.regexp_replace(F.col("t"), r"\s+", " ")
+    suspects = weak.join(common, "h").withColumn("body", _long_words(F.replace(rest, F.col("b"), F.lit(" ")))).withColumn("words", _long_words(F.col("b")))
+    alone = suspects.filter(~F.arrays_overlap("body", "words"))
+    leads = docs.select("slug", F.slice(_long_words(t), 1, 8).alias("lead"))
+    terms = slug_terms(leads.filter("slug is not null"))
+    mismatched = alone.join(terms, "slug", "left").filter(~F.arrays_overlap("words", F.coalesce("terms", F.array().cast("array<string>"))))
+    mismatched = mismatched.select("k", *[F.lit(False).alias(c) for c in ("field", "filler", "notice")], F.lit(True).alias("mismatch"))
     out = flagged.unionByName(mismatched).groupBy("k").agg(*[F.max(c).alias(c) for c in ("field", "filler", "notice", "mismatch")])
     return out.withColumnRenamed("k", key)
 
