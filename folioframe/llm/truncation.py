@@ -57,7 +57,7 @@ BLANK = " \t\r\n\u00a0\u200b\ufeff\u3000"
 SPACES = "\t\u00a0\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u3000"
 CLOSED = tuple(".?!;。．？！;；")
 DOTS = r"(?<=[^\s.…])(?:…+|\.{2,})$"
-NAME = r"\p{Lu}(?<=(?:[^.?!:)\s…] |\()\p{Lu})[\p{L}\p{M}'’]+"
+NAME = r"\p{Lu}(?<=(?:[^.?!:)\s…] |\()\p{Lu})[\p{L}\p{M}'’]*"
 
 
 def _clean(c: Column) -> Column:
@@ -213,20 +213,20 @@ def _word_contexts(words: DataFrame, usual: int = 20) -> DataFrame:
     return words.select("w", "n").mapInArrow(run, "c string, stop bigint, go bigint").groupBy("c").agg(F.sum("stop").alias("stop"), F.sum("go").alias("go"))
 
 
-def _thresholds(scored: DataFrame, odds: str, name: str, default: float, lowest: int, least: int = 100) -> DataFrame:
-    """(of_table, of_lang, name): the emptiest place of the log-odds between ``lowest`` and -0.5 of each language and column."""
+def _thresholds(scored: DataFrame, odds: str, name: str, default: float, lowest: int, highest: int = -1, least: int = 100) -> DataFrame:
+    """(of_table, of_lang, name): the emptiest place of the log-odds between ``lowest`` and ``highest`` of each language and column."""
     rows = scored.filter(F.col(odds).isNotNull()).select(F.col("table").alias("of_table"), F.coalesce("lang", F.lit("")).alias("of_lang"), F.floor(F.col(odds) * 2).cast("int").alias("bin"))
     counts = rows.groupBy("of_table", "of_lang").agg(F.count("*").alias("ends"), *[F.count_if(F.col("bin") == k).alias(f"b{-k}") for k in range(2 * lowest, 0)])
     # a place is as empty as it and its neighbours are
     smooth = lambda k: F.col(f"b{-k}") * 2 + (F.col(f"b{-k - 1}") if k < -1 else F.col("b1")) + (F.col(f"b{-k + 1}") if k > 2 * lowest else F.lit(0))
-    places = F.array(*[F.struct(smooth(k).alias("n"), F.lit(abs(k - lowest)).alias("off"), F.lit(k).alias("at")) for k in range(2 * lowest, 0)])
+    places = F.array(*[F.struct(smooth(k).alias("n"), F.lit(abs(k - lowest)).alias("off"), F.lit(k).alias("at")) for k in range(2 * lowest, 2 * highest)])
     return counts.select("of_table", "of_lang", F.when(F.col("ends") >= least, F.array_min(places)["at"] / 2 + 0.25).otherwise(default).alias(name))
 
 
 def judge(rows: DataFrame, *, enough: int = 4, enough_word: int = 8, sure: float = 2.0, rarer: float = 3.0) -> DataFrame:
     """(table, id, lang, line_odds, word_odds, limit, word_limit, cut) of every end under test.
 
-    ``sure``: log-odds of a line's end from which a word must lie ``rarer`` below its limit.
+    ``sure``: log-odds of a line's end from which a word must lie ``rarer`` below its limit, or below -4.
     """
     ends = cut_lineage(_ends(rows))
     texts = cut_lineage(_texts(rows))
@@ -251,7 +251,7 @@ def judge(rows: DataFrame, *, enough: int = 4, enough_word: int = 8, sure: float
     once = scored.dropDuplicates(["table", "lang", "same"])
     limits = _thresholds(once, "line_odds", "limit", -1.5, -3).join(_thresholds(once, "word_odds", "word_limit", -2.0, -4), ["of_table", "of_lang"], "full")
     out = scored.join(limits, (F.col("table") == F.col("of_table")) & (F.coalesce("lang", F.lit("")) == F.col("of_lang")), "left")
-    word_limit = F.col("word_limit") - F.when(F.col("line_odds") >= sure, rarer).otherwise(0.0)
+    word_limit = F.when(F.col("line_odds") >= sure, F.greatest(F.col("word_limit") - rarer, F.lit(-4.0))).otherwise(F.col("word_limit"))
     cut = F.coalesce(F.col("line_odds") < F.col("limit"), F.lit(False)) | F.coalesce(F.col("word_odds") < word_limit, F.lit(False))
     return out.select("table", "id", "lang", "line_odds", "word_odds", "limit", "word_limit", cut.alias("cut"))
 
