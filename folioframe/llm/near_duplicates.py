@@ -2,27 +2,35 @@
 
 Method: a record is the set of its words; two records belong together where the
 words found in both are at least ``share`` of the words found in either. Sets are
-points under symmetric difference, and the anchors are the codewords of a
-constant-weight covering code over the words in order of rarity: single rare
-words (weight 1) and pairs of words that aren't rare (weight 2). A record's
-fingerprint (its size and two 64-bit parity words) is replicated to every anchor
-inside its first ``size - ceil(share * size) + weight`` words, that is to every
-anchor within covering radius plus threshold, and fingerprints are compared
-anchor by anchor. The parity words of two sets differ in at most as many bits as
-the sets in words, so the comparison drops no pair; the few pairs left are
-verified on the words.
+points under symmetric difference, which a pair may differ by up to a threshold that
+follows from the share and the sizes. The anchors are words and pairs of words, that
+is the points of weight 1 and 2; a record is replicated to the anchors of its first
+``size - ceil(share * size) + weight`` words in order of rarity, and fingerprints
+(size and two 64-bit parity words, which differ in at most as many bits as the sets
+in words) are compared anchor by anchor. The few pairs left are verified on the words
+themselves, so no pair is lost or found by a hash alone.
+
+This covers as a covering design does, from the rare words up; a code over the whole
+fingerprint space, as the method is named for, can't give the result asked for, all
+pairs that pass the share: word sets are sparse, so nearly all blocks of their parity
+vectors decode to the codeword zero (the README has the figures), and a threshold of
+several words leaves a radius that reaches most codewords.
 
 Completeness: the rarest word that two such records share lies within both their
 prefixes of weight 1. If it is rare, its anchor holds both. If not, no shared word
 is rare, at least two shared words lie in both prefixes of weight 2, and the
-anchor of the first two of them holds both. So no link is lost, whatever the data.
+anchor of the first two of them holds both. Where one of the two has ``long`` words
+or more, both have ``share * long`` or more: such records have an anchor for each
+word of their prefix of weight 1, so that the anchors of a record grow with its size
+only. So no link is lost, whatever the data.
 
 Scale: equal sets are one point with members, so copies are never compared; the
 order of rarity comes from counts in a table of fixed size (2**18), which is all
 that is broadcast; a rare word's anchor holds at most ``rare`` points by
 definition, and the anchors of pairs thin out with the square of the words'
-shares. The join on anchors is an ordinary equi-join that adaptive execution may
-split where an anchor is hot. Words are compared as 32-bit hashes.
+shares. The join on anchors is an ordinary equi-join that adaptive execution splits
+where an anchor is hot. Pairs of records are an edge view; :func:`groups` gives one
+row for each record with its class and its number of links.
 
 Defined results: null labels and labels with fewer than ``min_words`` words take
 no part; null variables, entries and labels of entries have no words; redelivered
@@ -51,24 +59,27 @@ def _words(text: Column) -> Column:
 
 
 def word_sets(df: DataFrame, *, key: str = "element_id", label: str = "label", parts: str | None = "variables", min_words: int = 8) -> DataFrame:
-    """(key, set_id, words): the distinct words of every record as sorted 32-bit hashes, once for each key."""
+    """(key, set_id, words): the distinct words of every record, sorted, once for each key."""
     both = F.concat_ws(" ", F.col(label), F.array_join(F.transform(parts, lambda v: v["label"]), " ")) if parts else F.col(label)
     long_enough = df.filter(F.size(_words(F.col(label))) >= min_words)
-    hashed = F.transform(F.array_distinct(_words(both)), lambda w: F.shiftright(F.xxhash64(w), 32).cast("int"))
-    rows = long_enough.select(F.col(key).alias("key"), F.array_sort(F.array_distinct(hashed)).alias("words"))
+    rows = long_enough.select(F.col(key).alias("key"), F.array_sort(F.array_distinct(_words(both))).alias("words"))
     return rows.select("key", F.xxhash64("words").alias("set_id"), "words").dropDuplicates(["key"])
 
 
+def _hashed(words: Column | str) -> Column:
+    return F.transform(words, lambda w: F.shiftright(F.xxhash64(w), 32).cast("int"))
+
+
 def rarity(sets: DataFrame) -> np.ndarray:
     """How many words of all sets fall into each bucket: an upper bound of every word's count, of fixed size."""
-    counts = sets.select(F.explode("words").alias("w")).groupBy(F.shiftrightunsigned("w", 14).alias("b")).count().collect()  # at most 2**18 rows
+    counts = sets.select(F.explode(_hashed("words")).alias("w")).groupBy(F.shiftrightunsigned("w", 14).alias("b")).count().collect()  # at most 2**18 rows
     table = np.zeros(BUCKETS, dtype=np.int64)
     for r in counts:
         table[r.b] = r["count"]
     return table
 
 
-def anchor_rows(sets: DataFrame, counts: np.ndarray, *, share_num: int = 7, share_den: int = 10, rare: int = 200) -> DataFrame:
+def anchor_rows(sets: DataFrame, counts: np.ndarray, *, share_num: int = 7, share_den: int = 10, rare: int = 200, long: int = 64) -> DataFrame:
     """(anchor, set_id, size, f1, f2): each fingerprint at each of its anchors."""
 
     def mix(x: np.ndarray) -> np.ndarray:
@@ -95,10 +106,13 @@ def anchor_rows(sets: DataFrame, counts: np.ndarray, *, share_num: int = 7, shar
             place = np.arange(len(words)) - np.repeat(start, size)
             keep = (share_num * size + share_den - 1) // share_den
             is_rare = count <= rare
-            single = np.flatnonzero(is_rare & (place < np.repeat(size - keep + 1, size)))
-            who, anchors = [rec[single]], [mix(words[single] + np.uint64(1 << 40))]
+            short = size < long
+            inside = place < np.repeat(size - keep + 1, size)
+            single = np.flatnonzero(is_rare & inside & np.repeat(short, size))
+            of_long = np.flatnonzero(inside & np.repeat(size * share_den >= long * share_num, size))
+            who, anchors = [rec[single], rec[of_long]], [mix(words[single] + np.uint64(1 << 40)), mix(words[of_long] + np.uint64(1 << 41))]
             rares = np.add.reduceat(is_rare, start) if len(words) else np.zeros(0, int)  # the rare words come first
-            left = np.minimum(size - keep + 2, size) - rares
+            left = np.where(short, np.minimum(size - keep + 2, size) - rares, 0)
             for m in np.unique(left[left >= 2]):
                 i, j = np.triu_indices(m, 1)
                 of = np.flatnonzero(left == m)
@@ -108,12 +122,12 @@ def anchor_rows(sets: DataFrame, counts: np.ndarray, *, share_num: int = 7, shar
                 anchors.append(mix((a << np.uint64(32) | b).ravel()))
             who_all = np.concatenate(who)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(anchors).view(np.int64)), pa.array(ids[who_all]), pa.array(size[who_all].astype(np.int16)), pa.array(f1[who_all].view(np.int64)), pa.array(f2[who_all].view(np.int64))],
+                [pa.array(np.concatenate(anchors).view(np.int64)), pa.array(ids[who_all]), pa.array(size[who_all].astype(np.int32)), pa.array(f1[who_all].view(np.int64)), pa.array(f2[who_all].view(np.int64))],
                 names=["anchor", "set_id", "size", "f1", "f2"],
             )
 
-    points = sets.filter(F.size("words") > 0).select("set_id", "words")
-    return points.mapInArrow(run, "anchor bigint, set_id bigint, size smallint, f1 bigint, f2 bigint")
+    points = sets.filter(F.size("words") > 0).select("set_id", _hashed("words"))
+    return points.mapInArrow(run, "anchor bigint, set_id bigint, size int, f1 bigint, f2 bigint")
 
 
 def similar_sets(sets: DataFrame, *, share_num: int = 7, share_den: int = 10, rare: int = 200) -> DataFrame:
