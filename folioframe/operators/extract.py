@@ -42,8 +42,8 @@ def table_cells(line: Column) -> Column:
 
 
 def strip_prefix(code: Column) -> Column:
-    """``Q305_1`` to ``1``; anything else stays."""
-    return F.coalesce(F.nullif(F.regexp_extract(code, r"^Q\d{1,4}_(\d+)$", 1), F.lit("")), code)
+    """``Q305_1``, and whatever begins so, to ``1``; anything else stays."""
+    return F.coalesce(F.nullif(F.regexp_extract(code, r"^Q\d{1,4}_(\d+)", 1), F.lit("")), code)
 
 
 def table_rows(text: Column) -> Column:

@@ -483,7 +483,7 @@ SQL = {
       select doc_id, chunk_index, line_no, case when coalesce(near, 'used') = 'used' then 'OTHER TABLE' else near end as label from n where first""",
     "variable_rows": _C + rf""", l as (select doc_id, chunk_index, line_no, {_CELLS} as c from {P.LINES} where starts_with({P.strip('line')}, '|')),
       k as (select * from l where len(c) >= 2 and lower(c[1]) not in ('code', 'value code', 'variable code', 'variable name') and not regexp_matches(c[1], '^:?-{{2,}}:?$'))
-      select doc_id, chunk_index, nullif(coalesce(nullif(regexp_extract(c[1], '^Q\d{{1,4}}_(\d+)$', 1), ''), c[1]), '') as code, nullif(c[2], '') as label, nullif(c[3], '') as notes, row_number() over (partition by doc_id, chunk_index order by line_no) as position from k""",
+      select doc_id, chunk_index, nullif(coalesce(nullif(regexp_extract(c[1], '^Q\d{{1,4}}_(\d+)', 1), ''), c[1]), '') as code, nullif(c[2], '') as label, nullif(c[3], '') as notes, row_number() over (partition by doc_id, chunk_index order by line_no) as position from k""",
     "section_fold": _C + rf""", t as (select doc_id, chunk_index, unnest(ts) as title0, generate_subscripts(ts, 1) as i from (select doc_id, chunk_index, regexp_extract_all(chunk, '(?m)^\s*#+ (.+)$', 1) as ts from chunks)),
       s as (select doc_id, row_number() over (partition by doc_id order by chunk_index, i) as section_seq, {P.strip('title0')} as title from t)
       select doc_id, section_seq, 'section_' || coalesce(nullif(regexp_extract(title, '(?i)^Section\s+(\d+)', 1), ''), lower(nullif(regexp_extract(title, '(?i)^(\w+)\s+SECTION\b', 1), '')), regexp_replace(regexp_replace(lower(title), '[^\p{{L}}\p{{N}}]+', '_', 'g'), '^_|_$', '', 'g')) as code,

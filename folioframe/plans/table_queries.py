@@ -143,7 +143,7 @@ def page_questions(spark, d):
 def section_mapping(spark, d):
     s = html.sections(_nodes(spark, d))
     m = html.mapping(s, html.questions(s))
-    return m.withColumn("section_no", F.col("section_no").cast("bigint"))
+    return m.select("page_id", F.col("section_no").cast("bigint").alias("section_no"), "section_title", "filename", "question_count", F.array_join(F.transform("questions", lambda x: x["filename"]), ";").alias("questions"))
 
 
 def page_table_labels(spark, d):
@@ -163,6 +163,18 @@ def leftover_nodes(spark, d):
     return html.leftover_nodes(n, used).select("page_id", "inner_text")
 
 
+def legacy_page_chunks(spark, d):
+    """The chunks of the legacy splitter, with the number of the body's children in each."""
+    return html.legacy_chunks(_nodes(spark, d)).select("page_id", "chunk_no", "code", F.size("node_ids").cast("bigint").alias("nodes"))
+
+
+def cleaned_pages(spark, d):
+    """Question blocks and other blocks of the cleaned pages."""
+    rows = html.clean_pages(_pages(spark, d))
+    count = lambda p: F.regexp_count("cleaned", F.lit(p)).cast("bigint")
+    return rows.select("page_id", "status", count('class="question"').alias("questions"), count("TABLE LABEL: VARIABLES TABLE").alias("labelled"), count("<font|Q3_1|<p></p>|<p> </p>").alias("left"))
+
+
 def empty_paragraphs(spark, d):
     n = _nodes(spark, d)
     left = html.drop_empty_paragraphs(n)
@@ -200,7 +212,7 @@ def normalized_names(spark, d):
 
 _NAMES = (
     keyed_diff, diff_summary, diff_modified_only, renumber_positions, dedup_merge, anti_merge, merge_partials, mapping_lookup, leftover_rows, chunk_fold, batch_summary, progress_rate,
-    checkpoint_every_n, latest_report, completion, safe_filenames, prefix_strip, page_sections, page_questions, section_mapping, page_table_labels, attr_cleanup, leftover_nodes,
+    checkpoint_every_n, latest_report, completion, safe_filenames, prefix_strip, page_sections, page_questions, section_mapping, page_table_labels, attr_cleanup, leftover_nodes, legacy_page_chunks, cleaned_pages,
     empty_paragraphs, html_to_markdown, mapping_json, string_diff_stats, domain_validation, normalized_names,
 )
 QUERIES = {f.__name__: f for f in _NAMES}
@@ -216,7 +228,7 @@ j as (select coalesce(a.c_custkey, b.c_custkey) as c_custkey, a.c_custkey is nul
       from a full join b on a.c_custkey is not distinct from b.c_custkey),
 df as (select c_custkey, case when added then 'ADDED' when removed then 'REMOVED' else nullif(changes, '') end as diff from j)
 """
-_SUPP = "(select s_nationkey as page_id, s_suppkey, s_name, row_number() over (partition by s_nationkey order by s_suppkey) as section_no from supplier)"
+_SUPP = "(select s_nationkey as page_id, s_suppkey, s_name, row_number() over (partition by s_nationkey order by s_suppkey) - 1 as section_no from supplier)"
 
 SQL = {
     "keyed_diff": f"with {_VERSIONS} select c_custkey, diff from df",
@@ -237,8 +249,8 @@ SQL = {
     "safe_filenames": "select p_partkey, format('{:03d}_{}__{:03d}_{}.html', p_size, coalesce(nullif(regexp_replace(p_name, '[^\\p{L}\\p{N}_\\-.]', '_', 'g'), ''), 'section'), p_size, coalesce(nullif(regexp_replace(p_type, '[^\\p{L}\\p{N}_\\-.]', '_', 'g'), ''), 'chunk')) as filename, 'chunk_' || lpad(cast(p_size + 1 as varchar), 4, '0') || '.md' as chunk_name from part",
     "prefix_strip": "select p_partkey, case when p_partkey % 20000 < 10000 then cast(p_size as varchar) else 'Q' || (p_partkey % 20000) || '_' || p_size end as code from part",
     "page_sections": f"select page_id, section_no, s_name as section_title from {_SUPP}",
-    "page_questions": f"select page_id, section_no, 1 as question_no, 'Q' || s_suppkey as code, 'YES_NO' as type, 'name & place' as label from {_SUPP} union all select page_id, section_no, 2, 'R' || s_suppkey, 'CHOICE', 'other' || chr(10) || 'VARIABLES TABLE' || chr(10) || 'Q3_1' || chr(10) || 'Q3_1' || chr(10) || s_name from {_SUPP}".replace("select page_id, section_no, 1 as", "select page_id, section_no, cast(1 as bigint) as"),
-    "section_mapping": f"select page_id, section_no, s_name as section_title, format('{{:03d}}_{{}}.html', section_no, regexp_replace(s_name, '[^\\p{{L}}\\p{{N}}_\\-.]', '_', 'g')) as filename, cast(2 as bigint) as question_count from {_SUPP}",
+    "page_questions": f"select page_id, section_no, 0 as question_no, 'Q' || s_suppkey as code, 'YES_NO' as type, 'name & place' as label from {_SUPP} union all select page_id, section_no, 1, 'R' || s_suppkey, 'CHOICE', 'other' || chr(10) || 'VARIABLES TABLE' || chr(10) || 'Q3_1' || chr(10) || 'Q3_1' || chr(10) || s_name from {_SUPP}".replace("section_no, 0 as question_no", "section_no, cast(0 as bigint) as question_no"),
+    "section_mapping": f"select page_id, section_no, s_name as section_title, format('{{:03d}}_{{}}.html', section_no, regexp_replace(s_name, '[^\\p{{L}}\\p{{N}}_\\-.]', '_', 'g')) as filename, cast(2 as bigint) as question_count, format('{{:03d}}_{{}}__000_question_0.html;{{:03d}}_{{}}__001_question_1.html', section_no, regexp_replace(s_name, '[^\\p{{L}}\\p{{N}}_\\-.]', '_', 'g'), section_no, regexp_replace(s_name, '[^\\p{{L}}\\p{{N}}_\\-.]', '_', 'g')) as questions from {_SUPP}",
     "page_table_labels": "select s_nationkey as page_id, 'VARIABLES TABLE' as label, count(*) as tables from supplier group by s_nationkey",
     "attr_cleanup": "select s_nationkey as page_id, 'p' as tag, 'style' as attr, 'color: red' as value, count(*) as n from supplier group by s_nationkey",
     "leftover_nodes": "select distinct s_nationkey as page_id, 'before' as inner_text from supplier",
