@@ -105,9 +105,6 @@ def rule_extract(chunks: DataFrame, *, chunk: str = "chunk") -> DataFrame:
     found = chunks.withColumn("found_sections", _found_sections(c)).withColumn("found_elements", F.transform(pieces, element_of))
     open_end = c.rlike(r"(?:\|[^|\n]*[^|\s][^|\n]*|,|\p{Ll})\s*\z") & ~c.rlike(r"\|\s*\z")
     kind = F.when(F.size(sections) > 0, "SECTION_START").when(F.size(elements) > 0, "ELEMENT_START").when(F.contains(c, F.lit("|")), "ELEMENT_CONTINUATION").otherwise("UNKNOWN")
-    bad = F.filter(elements, lambda e: ~e["type"].isin(*TYPES))
-    odd = F.filter(F.flatten(F.transform(elements, lambda e: e["columns"])), lambda x: x["code"].try_cast("int").isNull())
-    error = F.concat_ws("; ", F.when(F.size(bad) > 0, F.concat(F.lit("unknown type "), F.array_join(F.transform(bad, lambda e: e["type"]), ", "))), F.when(F.size(odd) > 0, F.lit("a column code isn't a whole number")))
     result = F.struct(
         kind.alias("chunk_type"),
         sections.alias("extracted_sections"),
@@ -115,7 +112,7 @@ def rule_extract(chunks: DataFrame, *, chunk: str = "chunk") -> DataFrame:
         F.when(open_end, c).alias("partial_content"),
         open_end.alias("requires_continuation"),
         F.when(F.size(elements) + F.size(sections) > 0, 0.9).otherwise(0.3).alias("confidence"),
-        F.nullif(error, F.lit("")).alias("error"),
+        F.lit(None).cast("string").alias("error"),  # rules don't fail; elements that can't be taken are told when they are assembled
     )
     return found.withColumn("result", result).drop("found_sections", "found_elements")
 
@@ -130,20 +127,36 @@ PROVIDERS: dict[str, Callable[[list[str]], list[dict]]] = {}
 
 
 def with_providers(chunks: DataFrame, order: list[str], *, keys: list[str], attempts: int = 3, delay: float = 1.0, factor: float = 2.0) -> DataFrame:
-    """(keys, result) by the providers in the order given; a chunk that all fail for has only ``error`` set."""
+    """(keys, result) by the providers in the order given, as :func:`rule_extract` gives it.
+
+    Providers get all chunks of a batch; where one fails for the batch, each of its
+    chunks is tried alone, so that one bad chunk costs no other. A chunk that all
+    providers fail for has only ``error`` set. An unknown name is left out.
+    """
     known = [(n, PROVIDERS[n]) for n in order if n in PROVIDERS]
 
-    def call(texts: list[str]) -> list[dict]:
+    def tried(texts: list[str]) -> tuple[list[dict] | None, str]:
         last = "no provider"
         for name, provider in known:
             for k in range(attempts):
                 try:
-                    return provider(texts)
+                    got = provider(texts)
+                    if len(got) != len(texts):
+                        raise ValueError(f"{len(got)} results for {len(texts)} chunks")
+                    return got, ""
                 except Exception as e:  # noqa: BLE001
                     last = f"{name}: {e}"
                     if k + 1 < attempts:
                         time.sleep(delay * factor**k)
-        return [{"error": last} for _ in texts]
+        return None, last
+
+    def call(texts: list[str]) -> list[dict]:
+        got, last = tried(texts)
+        if got is not None:
+            return got
+        if len(texts) == 1:
+            return [{"error": last}]
+        return [r for t in texts for r in call([t])]
 
     names = [f.split()[0] for f in RESULT.replace("array<struct<", "array<").split(", ") if " " in f]
 
@@ -156,4 +169,5 @@ def with_providers(chunks: DataFrame, order: list[str], *, keys: list[str], atte
             yield out
 
     head = ", ".join(f"{k} {chunks.schema[k].dataType.simpleString()}" for k in keys)
-    return chunks.select(*keys, "chunk").mapInPandas(run, f"{head}, {RESULT}")
+    rows = chunks.select(*keys, "chunk").mapInPandas(run, f"{head}, {RESULT}")
+    return rows.select(*keys, F.struct(*names).alias("result"))

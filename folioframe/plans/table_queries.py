@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioframe.functions import text as T
-from folioframe.operators import assemble, diff, extract, html, metrics
+from folioframe.operators import assemble, diff, extract, fold, html, metrics
 from folioframe.session import table
 from folioframe.sources import sinks
 
@@ -79,6 +79,27 @@ def chunk_fold(spark, d):
     return one.select("chunk_id", F.lag("chunk_type").over(w).alias("previous"), F.row_number().over(w).cast("bigint").alias("place"))
 
 
+def conversation_fold(spark, d):
+    """The text accumulated after each chunk result of a conversion, and the kind of the one before."""
+    one = table(spark, d, "chunk_results").dropDuplicates(["chunk_id"]).filter("conversion_id is not null")
+    rows = fold.accumulated(one, doc="conversion_id", order=["chunk_index", "chunk_id"], content=F.col("chunk_type"), partial=F.col("partial_content"), goes_on=F.col("requires_continuation"), error=F.col("error"))
+    return rows.select("chunk_id", "previous_type", F.md5("accumulated").alias("digest"))
+
+
+def state_fold(spark, d):
+    """The sections of each conversion, folded from its chunk results."""
+    one = table(spark, d, "chunk_results").dropDuplicates(["chunk_id"]).filter("conversion_id is not null")
+    first = F.coalesce(F.to_json(F.get("extracted_elements", F.lit(0))), F.to_json(F.get("extracted_sections", F.lit(0))))
+    rows = one.select("conversion_id", F.struct("chunk_index", "chunk_id").alias("chunk_index"), F.col("partial_content").alias("chunk"), F.col("chunk_type").alias("kind"), first.alias("extracted"))
+    return fold.fold_sections(rows, doc="conversion_id").select("conversion_id", "section_no", "code", "label", F.size("elements").cast("bigint").alias("elements"))
+
+
+def section_tree_counts(spark, d):
+    """How many sections, elements, variables and columns each survey has."""
+    one = table(spark, d, "partial_sections").dropDuplicates(["section_id"]).withColumn("elements", F.filter("elements", lambda x: x.isNotNull()))
+    return fold.tree_counts(one, doc="survey_code")
+
+
 def batch_summary(spark, d):
     return metrics.batch_summary(table(spark, d, "events"), by=["event_type"], ok=F.col("value") >= 10, seconds=F.floor(F.col("value") * 1000).cast("bigint"))
 
@@ -211,7 +232,7 @@ def normalized_names(spark, d):
 
 
 _NAMES = (
-    keyed_diff, diff_summary, diff_modified_only, renumber_positions, dedup_merge, anti_merge, merge_partials, mapping_lookup, leftover_rows, chunk_fold, batch_summary, progress_rate,
+    keyed_diff, diff_summary, diff_modified_only, renumber_positions, dedup_merge, anti_merge, merge_partials, mapping_lookup, leftover_rows, chunk_fold, conversation_fold, state_fold, section_tree_counts, batch_summary, progress_rate,
     checkpoint_every_n, latest_report, completion, safe_filenames, prefix_strip, page_sections, page_questions, section_mapping, page_table_labels, attr_cleanup, leftover_nodes, legacy_page_chunks, cleaned_pages,
     empty_paragraphs, html_to_markdown, mapping_json, string_diff_stats, domain_validation, normalized_names,
 )
@@ -241,6 +262,13 @@ SQL = {
     "mapping_lookup": "select conversion_id, c.profile_name, cast(max_chars as bigint) as max_chars, max_chars is null as missing from (select conversion_id, any_value(profile_name) as profile_name from conversion_results group by conversion_id) c left join split_profiles p on c.profile_name = p.profile_name",
     "leftover_rows": "select distinct chunk_id from chunk_results c where not exists (select 1 from conversion_results r where r.conversion_id = c.conversion_id)",
     "chunk_fold": "select chunk_id, lag(chunk_type) over w as previous, row_number() over w as place from (select chunk_id, any_value(conversion_id) as conversion_id, any_value(chunk_index) as chunk_index, any_value(chunk_type) as chunk_type from chunk_results where conversion_id is not null group by chunk_id) window w as (partition by conversion_id order by chunk_index, chunk_id)",
+    "conversation_fold": """with one as (select chunk_id, any_value(conversion_id) as conversion_id, any_value(chunk_index) as chunk_index, any_value(chunk_type) as chunk_type, any_value(partial_content) as partial_content, coalesce(any_value(requires_continuation), false) as goes_on, any_value(error) as error from chunk_results where conversion_id is not null group by chunk_id),
+      ok as (select *, sum(case when goes_on then 0 else 1 end) over w as run, lag(chunk_type) over w as previous_type from one where coalesce(error, '') = '' window w as (partition by conversion_id order by chunk_index, chunk_id))
+      select chunk_id, previous_type, md5(case when run = 0 then chr(10) else '' end || string_agg(coalesce(case when goes_on then chunk_type else partial_content end, ''), chr(10)) over (partition by conversion_id, run order by chunk_index, chunk_id)) as digest from ok""",
+    "section_tree_counts": """with one as (select section_id, any_value(survey_code) as survey_code, any_value(elements) as elements from partial_sections group by section_id),
+      e as (select section_id, unnest(elements) as x from one)
+      select survey_code, count(*) as sections, cast(sum(coalesce(n, 0)) as bigint) as elements, cast(sum(coalesce(v, 0)) as bigint) as variables, cast(sum(coalesce(c, 0)) as bigint) as columns
+      from one left join (select section_id, count(*) as n, sum(coalesce(len(x.variables), 0)) as v, sum(coalesce(len(x.columns), 0)) as c from e where x is not null group by section_id) using (section_id) group by survey_code""",
     "batch_summary": "select event_type, count(*) as files, count(case when value >= 10 then 1 end) as succeeded, count(*) - count(case when value >= 10 then 1 end) as failed, round(count(case when value >= 10 then 1 end) * 100 / count(*), 4) as success_rate, cast(sum(floor(value * 1000)) as bigint) as total_seconds, cast(min(floor(value * 1000)) as bigint) as least_seconds, cast(max(floor(value * 1000)) as bigint) as most_seconds from events group by event_type",
     "progress_rate": "select event_id, done, elapsed_us, case when elapsed_us > 0 then round(done * 60e6 / elapsed_us, 6) end as per_minute from (select event_id, count(*) over w as done, cast(epoch_us(ts) - min(epoch_us(ts)) over w as bigint) as elapsed_us from events window w as (partition by user_id order by ts, event_id rows between unbounded preceding and current row))",
     "checkpoint_every_n": "select user_id, event_id from (select *, row_number() over (partition by user_id order by ts, event_id) as rn from events) where rn % 5 = 0",
