@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioframe.functions import text as T
-from folioframe.operators import assemble, diff, extract, fold, html, metrics
+from folioframe.operators import assemble, diff, extract, fold, html, metrics, monitor
 from folioframe.session import table
 from folioframe.sources import sinks
 
@@ -100,6 +100,59 @@ def section_tree_counts(spark, d):
     return fold.tree_counts(one, doc="survey_code")
 
 
+def _run_events(spark: SparkSession, d: str) -> DataFrame:
+    """The events table as events of runs: a run for each user."""
+    e = table(spark, d, "events")
+    kinds = F.array(*map(F.lit, ("chunk_start", "analysis", "extraction", "chunk_done", "phase", "warning")))
+    event = F.get(kinds, (F.col("event_id") % 6).cast("int"))
+    return e.select(
+        F.col("user_id").cast("string").alias("run"), "ts", event.alias("event"), (F.col("event_id") % 7).alias("chunk_index"), F.col("event_type").alias("kind"), (F.floor(F.col("value")) / 100).alias("confidence"), F.floor(F.col("value")).cast("double").alias("ms"),
+        F.when(F.col("event_id") % 5 == 0, F.concat(F.lit("e"), F.col("event_id") % 3)).alias("message"), F.length("props").cast("bigint").alias("input_tokens"), (F.col("event_id") % 10).alias("output_tokens"), "event_id",
+    )
+
+
+def chunk_reports(spark, d):
+    rows = monitor.chunk_reports(_run_events(spark, d))
+    return rows.select("run", "chunk_index", F.unix_micros(F.col("started").cast("timestamp")).alias("started"), F.unix_micros(F.col("done").cast("timestamp")).alias("done"), "ms")
+
+
+def run_reports(spark, d):
+    rows = monitor.run_reports(_run_events(spark, d))
+    return rows.select("run", "chunks_completed", "chunks_failed", F.array_join("errors", ";").alias("errors"), F.array_join("warnings", ";").alias("warnings"), "input_tokens", "output_tokens")
+
+
+def merged_errors(spark, d):
+    """The distinct errors and warnings of all runs whose number ends alike."""
+    reports = monitor.run_reports(_run_events(spark, d)).withColumn("digit", F.right("run", F.lit(1)))
+    return monitor.merge_errors(reports, ["digit"]).select("digit", F.array_join("errors", ";").alias("errors"), F.array_join("warnings", ";").alias("warnings"))
+
+
+def last_errors(spark, d):
+    """The last three messages of each run."""
+    rows = monitor.last_messages(_run_events(spark, d), ["run"], ["ts", "event_id"], "message")
+    return rows.select("run", F.array_join("messages", ";").alias("messages"))
+
+
+def throttled_progress(spark, d):
+    return monitor.throttled(_run_events(spark, d), run="run", ts="ts", seconds=3600, tie="event_id").select("run", "event_id")
+
+
+def checkpoint_summary(spark, d):
+    rows = monitor.checkpoint_summary(table(spark, d, "section_checkpoints").dropDuplicates(["checkpoint_id"]))
+    return rows.select("session_id", "checkpoints", "section_checkpoints", "element_checkpoints", "partial_state_checkpoints")
+
+
+def monitor_view(spark, d):
+    rows = monitor.monitor_view(monitor.run_reports(_run_events(spark, d)), F.lit(20))
+    return rows.select("run", "percent", F.array_join("errors", ";").alias("errors"), F.col("more_errors").cast("bigint").alias("more_errors"))
+
+
+def first_failure(spark, d):
+    """The orders of each customer up to the first one that is pending."""
+    rows = monitor.stop_at_first_failure(table(spark, d, "orders"), batch="o_custkey", order=["o_orderdate", "o_orderkey"], ok=F.col("o_orderstatus") != "P")
+    return rows.select("o_custkey", "o_orderkey")
+
+
 def batch_summary(spark, d):
     return metrics.batch_summary(table(spark, d, "events"), by=["event_type"], ok=F.col("value") >= 10, seconds=F.floor(F.col("value") * 1000).cast("bigint"))
 
@@ -232,7 +285,7 @@ def normalized_names(spark, d):
 
 
 _NAMES = (
-    keyed_diff, diff_summary, diff_modified_only, renumber_positions, dedup_merge, anti_merge, merge_partials, mapping_lookup, leftover_rows, chunk_fold, conversation_fold, state_fold, section_tree_counts, batch_summary, progress_rate,
+    keyed_diff, diff_summary, diff_modified_only, renumber_positions, dedup_merge, anti_merge, merge_partials, mapping_lookup, leftover_rows, chunk_fold, conversation_fold, state_fold, section_tree_counts, chunk_reports, run_reports, merged_errors, last_errors, throttled_progress, checkpoint_summary, monitor_view, first_failure, batch_summary, progress_rate,
     checkpoint_every_n, latest_report, completion, safe_filenames, prefix_strip, page_sections, page_questions, section_mapping, page_table_labels, attr_cleanup, leftover_nodes, legacy_page_chunks, cleaned_pages,
     empty_paragraphs, html_to_markdown, mapping_json, string_diff_stats, domain_validation, normalized_names,
 )
@@ -251,7 +304,23 @@ df as (select c_custkey, case when added then 'ADDED' when removed then 'REMOVED
 """
 _SUPP = "(select s_nationkey as page_id, s_suppkey, s_name, row_number() over (partition by s_nationkey order by s_suppkey) - 1 as section_no from supplier)"
 
+_EVENTS = """
+ev as (select cast(user_id as varchar) as run, ts, ['chunk_start', 'analysis', 'extraction', 'chunk_done', 'phase', 'warning'][event_id % 6 + 1] as event, event_id % 7 as chunk_index, floor(value) as ms,
+  case when event_id % 5 = 0 then 'e' || (event_id % 3) end as message, cast(length(props) as bigint) as input_tokens, event_id % 10 as output_tokens, event_id from events),
+rep as (select run, count(*) filter (event = 'chunk_done') as chunks_completed, count(*) filter (event = 'chunk_done' and message is not null) as chunks_failed,
+  coalesce(list_sort(list(distinct message) filter (event = 'chunk_done' and message is not null)), []) as errors, coalesce(list_sort(list(distinct message) filter (event = 'warning' and message is not null)), []) as warnings,
+  cast(sum(input_tokens) as bigint) as input_tokens, cast(sum(output_tokens) as bigint) as output_tokens from ev group by run)
+"""
+
 SQL = {
+    "chunk_reports": f"with {_EVENTS} select run, chunk_index, epoch_us(min(ts) filter (event = 'chunk_start')) as started, epoch_us(max(ts) filter (event = 'chunk_done')) as done, sum(ms) filter (event in ('analysis', 'extraction')) as ms from ev group by run, chunk_index",
+    "run_reports": f"with {_EVENTS} select run, chunks_completed, chunks_failed, array_to_string(errors, ';') as errors, array_to_string(warnings, ';') as warnings, input_tokens, output_tokens from rep",
+    "merged_errors": f"with {_EVENTS} select right(run, 1) as digit, coalesce(array_to_string(list_sort(list_distinct(flatten(list(errors)))), ';'), '') as errors, coalesce(array_to_string(list_sort(list_distinct(flatten(list(warnings)))), ';'), '') as warnings from rep group by 1",
+    "last_errors": f"with {_EVENTS}, n as (select *, row_number() over (partition by run order by ts desc, event_id desc) as rn from ev where message is not null) select run, string_agg(message, ';' order by rn desc) as messages from n where rn <= 3 group by run",
+    "throttled_progress": f"with {_EVENTS} select run, event_id from (select *, row_number() over (partition by run, floor(epoch_us(ts) / 3600000000) order by ts, event_id) as rn from ev) where rn = 1",
+    "checkpoint_summary": "select session_id, count(*) as checkpoints, count(*) filter (cp_type = 'section') as section_checkpoints, count(*) filter (cp_type = 'element') as element_checkpoints, count(*) filter (cp_type = 'partial_state') as partial_state_checkpoints from (select checkpoint_id, any_value(session_id) as session_id, any_value(cp_type) as cp_type from section_checkpoints group by checkpoint_id) group by session_id",
+    "monitor_view": f"with {_EVENTS} select run, round(chunks_completed * 100 / 20, 1) as percent, array_to_string(errors[1:5], ';') as errors, cast(greatest(len(errors) - 5, 0) as bigint) as more_errors from rep",
+    "first_failure": "select o_custkey, o_orderkey from (select *, coalesce(bool_or(o_orderstatus = 'P') over (partition by o_custkey order by o_orderdate, o_orderkey rows between unbounded preceding and 1 preceding), false) as broken from orders) where not broken",
     "keyed_diff": f"with {_VERSIONS} select c_custkey, diff from df",
     "diff_summary": f"with {_VERSIONS} select count(*) as total, count(case when diff = 'ADDED' then 1 end) as added, count(case when diff = 'REMOVED' then 1 end) as removed, count(case when diff not in ('ADDED', 'REMOVED') then 1 end) as modified, count(case when diff is null then 1 end) as unchanged from df",
     "diff_modified_only": f"with {_VERSIONS} select c_custkey, regexp_replace(diff, '(?m)^(\\w+): (.*) => (.*)$', '🔄 \\1:' || chr(10) || '  \\2 → \\3', 'g') as changes, 'yellow' as style from df where diff not in ('ADDED', 'REMOVED')",
