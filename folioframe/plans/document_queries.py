@@ -257,6 +257,16 @@ def preview_topn(spark, d):
     return _chunks(spark, d).withColumn("rn", F.row_number().over(w)).filter("rn <= 3").select("doc_id", "chunk_index", F.substring("chunk", 1, 60).alias("preview"))
 
 
+def structure_map_files(spark, d):
+    rows = sinks.structure_map_json(structure.structure_map(_chunks(spark, d)))
+    v = F.from_json("structure_map", "total_chunks bigint, chunks_info array<struct<chunk_index:bigint,elements_count:bigint,chunk_type:string>>")
+    return rows.select("doc_id", v.alias("v")).select("doc_id", "v.total_chunks", F.aggregate("v.chunks_info", F.lit(0).cast("bigint"), lambda n, x: n + x["elements_count"]).alias("elements"), F.array_join(F.transform("v.chunks_info", lambda x: x["chunk_type"]), ";").alias("kinds"))
+
+
+def debug_files(spark, d):
+    return sinks.debug_dump(_chunks(spark, d)).select("doc_id", "filename", F.md5("text").alias("digest"))
+
+
 def running_offsets(spark, d):
     return _spans(spark, d)
 
@@ -286,7 +296,7 @@ _NAMES = (
     chunk_details, structure_offsets, ordered_reassembly, structure_map, element_positions, next_element_hint, chunk_footer, simple_analysis, fallback_analysis, fragment_flags,
     completion_flags, context_buffer, carried_codes, structure_range_join, preceding_element_asof, split_stats, split_summary, validate_stats, conversion_stats, md_blank_collapse,
     strip_tags_text, table_label_carry, variable_rows, extracted_elements, section_fold, assembly_warnings, survey_json, token_estimate, prompt_render, preview_topn,
-    running_offsets, json_errors, combine_sections, schema_validation,
+    structure_map_files, debug_files, running_offsets, json_errors, combine_sections, schema_validation,
 )
 QUERIES = {f.__name__: f for f in _NAMES}
 
@@ -418,6 +428,7 @@ SQL = {
     "element_positions": _M + f"""select doc_id, chunk_index, {P.strip('g1')} as code, coalesce({P.strip('g2')}, 'CHOICE') as type, section_seq,
       row_number() over (partition by doc_id order by chunk_index, start) as global_position, row_number() over (partition by doc_id, section_seq order by chunk_index, start) as section_relative_position, start as start_char, stop as end_char
       from {P.matches('smap', 'doc_id, chunk_index, section_seq', 'chunk', _EL, 2)}""",
+    "structure_map_files": _M + "select doc_id, count(*) as total_chunks, cast(sum(elements_count) as bigint) as elements, string_agg(chunk_type, ';' order by chunk_index) as kinds from smap group by doc_id",
     "next_element_hint": _M + "select doc_id, chunk_index, next_section_element_position from smap",
     "chunk_footer": _M + """select doc_id, chunk_index, '<!-- CHUNK METADATA -->' || chr(10) || '<!-- Chunk Index: ' || chunk_index || ' -->' || chr(10) || '<!-- Total Chunks: ' || (count(*) over (partition by doc_id)) || ' -->' || chr(10)
       || case when has_section_header then format('<!-- Section Position: {} -->{}<!-- Section Title: {} -->{}<!-- Next Element Position: 1 -->{}', section_position, chr(10), coalesce(section_title, ''), chr(10), chr(10)) else '' end
