@@ -59,15 +59,19 @@ def _words(text: Column) -> Column:
 
 
 def word_sets(df: DataFrame, *, key: str = "element_id", label: str = "label", parts: str | None = "variables", min_words: int = 8) -> DataFrame:
-    """(key, set_id, words): the distinct words of every record, sorted, once for each key."""
+    """(key, set_id, words): the distinct words of every record, sorted and joined by spaces, once for each key."""
     both = F.concat_ws(" ", F.col(label), F.array_join(F.transform(parts, lambda v: v["label"]), " ")) if parts else F.col(label)
     long_enough = df.filter(F.size(_words(F.col(label))) >= min_words)
-    rows = long_enough.select(F.col(key).alias("key"), F.array_sort(F.array_distinct(_words(both))).alias("words"))
+    rows = long_enough.select(F.col(key).alias("key"), F.array_join(F.array_sort(F.array_distinct(_words(both))), " ").alias("words"))
     return rows.select("key", F.xxhash64("words").alias("set_id"), "words").dropDuplicates(["key"])
 
 
+def _each(words: Column | str) -> Column:
+    return F.split(words, " ")
+
+
 def _hashed(words: Column | str) -> Column:
-    return F.transform(words, lambda w: F.shiftright(F.xxhash64(w), 32).cast("int"))
+    return F.transform(_each(words), lambda w: F.shiftright(F.xxhash64(w), 32).cast("int"))
 
 
 def rarity(sets: DataFrame) -> np.ndarray:
@@ -126,7 +130,7 @@ def anchor_rows(sets: DataFrame, counts: np.ndarray, *, share_num: int = 7, shar
                 names=["anchor", "set_id", "size", "f1", "f2"],
             )
 
-    points = sets.filter(F.size("words") > 0).select("set_id", _hashed("words"))
+    points = sets.filter("words <> ''").select("set_id", _hashed("words"))
     return points.mapInArrow(run, "anchor bigint, set_id bigint, size int, f1 bigint, f2 bigint")
 
 
@@ -143,8 +147,8 @@ def similar_sets(sets: DataFrame, *, share_num: int = 7, share_den: int = 10, ra
     near = a.join(b, "anchor").filter((F.col("set_id_a") < F.col("set_id_b")) & close).select("set_id_a", "set_id_b").distinct()
     wa = sets.select(F.col("set_id").alias("set_id_a"), F.col("words").alias("wa"))
     wb = sets.select(F.col("set_id").alias("set_id_b"), F.col("words").alias("wb"))
-    shared = F.size(F.array_intersect("wa", "wb"))
-    passed = near.join(wa, "set_id_a").join(wb, "set_id_b").filter(shared * share_den >= (F.size("wa") + F.size("wb") - shared) * share_num)
+    shared = F.size(F.array_intersect(_each("wa"), _each("wb")))
+    passed = near.join(wa, "set_id_a").join(wb, "set_id_b").filter(shared * share_den >= (F.size(_each("wa")) + F.size(_each("wb")) - shared) * share_num)
     return passed.select(F.col("set_id_a").alias("set_a"), F.col("set_id_b").alias("set_b"))
 
 
