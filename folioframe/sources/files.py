@@ -22,7 +22,7 @@ _S = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 def text_files(spark: SparkSession, path: str, pattern: str = "*.{md,markdown}", *, recursive: bool = False) -> DataFrame:
     """(path, text) of whole files, in the order of their paths when collected by path."""
     r = spark.read.option("wholetext", True).option("pathGlobFilter", pattern).option("recursiveFileLookup", str(recursive).lower())
-    return r.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    return r.format("text").load(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
 def html_files(spark: SparkSession, path: str, **options) -> DataFrame:
