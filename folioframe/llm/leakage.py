@@ -8,8 +8,9 @@ by term, so that a set of test items reads the lists of its own terms only and a
 further set of items costs no scan of the corpus.
 
 Every window of ``min_words`` words of an item is entered at its three rarest terms
-(by document frequency over the whole index). Block by block, the posting lists of
-these are intersected from the rarest on, each moved by its term's place in the
+(by document frequency over the whole index), and once more at the next three, so
+that a changed word doesn't hide a proximity match. Block by block, the posting
+lists of these are intersected from the rarest on, each moved by its term's place in the
 item. What survives are candidates (document, item, offset), of which only the
 documents are read again and compared word by word:
     * phrase: at least ``min_words`` consecutive words of the item at this offset;
@@ -116,12 +117,16 @@ def item_words(items: DataFrame, min_words: int) -> DataFrame:
 
 
 def window_entries(terms: list[int], docs_of: dict[int, int], min_words: int) -> set[tuple]:
-    """The places of the three rarest terms of every window that the corpus could hold, rarest first."""
+    """The places of the three rarest terms of every window, and of the next three, rarest first.
+
+    A term that the corpus lacks rules a phrase out, but no proximity match.
+    """
     out: set[tuple] = set()
     for a in range(len(terms) - min_words + 1):
         order = sorted((docs_of.get(t, 0), i) for i, t in enumerate(terms[a : a + min_words], a))
-        if order[0][0]:  # a term the corpus lacks rules the window out
-            out.add(tuple(i for _, i in order[:3]))
+        for three in (order[:3], order[3:6]):
+            if three and three[0][0]:
+                out.add(tuple(i for _, i in three))
     return out
 
 
@@ -135,7 +140,7 @@ def _candidates(index: DataFrame, entries: list[tuple], kind: str) -> DataFrame:
     """(k, item, delta) where the three rarest terms of a window stand at their places; ``entries``: (item no, ((term, place), ...))."""
     spark = index.sparkSession
     wanted = spark.createDataFrame([(t,) for t in sorted({t for _, at in entries for t, _ in at})], "wanted bigint")
-    lists = index.join(F.broadcast(wanted), F.col("term") == F.col("wanted"), "left_semi")  # at most three terms a window
+    lists = index.join(F.broadcast(wanted), F.col("term") == F.col("wanted"), "left_semi")  # at most six terms a window
     needed = lists.filter("postings is not null").unionByName(index.filter("postings is null"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:

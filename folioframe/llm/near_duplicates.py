@@ -59,11 +59,11 @@ def _words(text: Column) -> Column:
 
 
 def word_sets(df: DataFrame, *, key: str = "element_id", label: str = "label", parts: str | None = "variables", min_words: int = 8) -> DataFrame:
-    """(key, set_id, words): the distinct words of every record, sorted and joined by spaces, once for each key."""
+    """(key, set_id, words): the distinct words of every record, sorted and joined by spaces, for each row."""
     both = F.concat_ws(" ", F.col(label), F.array_join(F.transform(parts, lambda v: v["label"]), " ")) if parts else F.col(label)
     long_enough = df.filter(F.size(_words(F.col(label))) >= min_words)
     rows = long_enough.select(F.col(key).alias("key"), F.array_join(F.array_sort(F.array_distinct(_words(both))), " ").alias("words"))
-    return rows.select("key", F.xxhash64("words").alias("set_id"), "words").dropDuplicates(["key"])
+    return rows.select("key", F.xxhash64("words").alias("set_id"), "words")
 
 
 def _each(words: Column | str) -> Column:
@@ -155,8 +155,12 @@ def similar_sets(sets: DataFrame, *, share_num: int = 7, share_den: int = 10, ra
 def similar_records(df: DataFrame, *, key: str = "element_id", share_num: int = 7, share_den: int = 10, **options) -> tuple[DataFrame, DataFrame]:
     """The members (key, set_id) and the links (set_a, set_b) between classes of equal sets."""
     rows = cut_lineage(word_sets(df, key=key, **options))
-    sets = rows.select("set_id", "words").dropDuplicates(["set_id"])
-    return rows.select(F.col("key").alias(key), "set_id"), similar_sets(cut_lineage(sets), share_num=share_num, share_den=share_den)
+    members = cut_lineage(rows.select(F.col("key").alias(key), "set_id").dropDuplicates([key]))  # one of the sets, should rows of a key differ
+    links = similar_sets(cut_lineage(rows.select("set_id", "words").dropDuplicates(["set_id"])), share_num=share_num, share_den=share_den)
+    classes = members.select("set_id").distinct()
+    for side in ("set_a", "set_b"):
+        links = links.join(classes.withColumnRenamed("set_id", side), side, "left_semi")
+    return members, links.select("set_a", "set_b")
 
 
 def record_pairs(members: DataFrame, links: DataFrame, *, key: str = "element_id") -> DataFrame:
