@@ -58,8 +58,8 @@ SWAPPED_SEEN = ("cp1252", "latin-1", "mac_roman", "cp437", "cp850", "cp1250", "c
 FREE = "free"
 #: punctuation, currency, other symbols
 SIGNS = ("Pd", "Po", "Ps", "Pe", "Pi", "Pf", "Sc", "So", "Sk", "Zs")
-#: log weights that a page's cipher and a free one start with, and the least a cipher in use has
-START, FREE_START, LEAST = math.log(1e-3), math.log(1e-5), 1e-6
+#: log weight that a cipher starts with, and the least share of one in use
+START, LEAST = math.log(1e-3), 1e-6
 
 
 class Cipher:
@@ -170,19 +170,25 @@ class Tables:
         self.start = start
         self.weights: dict[str, dict[str, float]] = {}
         self.letters: dict[tuple[str, str], dict[str, str]] = {}
+        #: symbols that are peculiar to a source: they may stand for any letter, and say nothing for themselves
+        self.odd: dict[str, set[str]] = {}
         self.fitted = False
         self._made: dict[str, list] = {}
 
+    def as_it_stands(self, source: str, frame: str) -> str:
+        odd = self.odd.get(source)
+        return "".join("\uffff" if c in odd else c for c in frame) if odd else frame
+
     def __getstate__(self) -> tuple:
-        return self.weights, self.letters, self.fitted  # the starting tables are made anew where they are needed
+        return self.weights, self.letters, self.odd, self.fitted  # the starting tables are made anew where they are needed
 
     def __setstate__(self, state: tuple) -> None:
-        self.weights, self.letters, self.fitted = state
+        self.weights, self.letters, self.odd, self.fitted = state
         self.start, self._made = start_ciphers(), {}
 
     def of(self, source: str) -> list[tuple[Cipher, float]]:
         if source not in self._made:
-            known = self.weights.get(source, {}) if self.fitted else {n: FREE_START if n == FREE else START for n in self.start}
+            known = self.weights.get(source, {}) if self.fitted else dict.fromkeys(self.start, START)
             self._made[source] = [(Cipher(n, {**self.start[n].table, **self.letters[source, n]}) if (source, n) in self.letters else self.start[n], w) for n, w in known.items()]
         return self._made[source]
 
@@ -199,12 +205,12 @@ def _letter_shares(read: str, i: int, model: PairModel, lang: str | None) -> lis
     return [(c, p) for c, v in found if (p := math.exp(v - top) / mass) > 0.02]
 
 
-def _readings(frame: str, ciphers: list[tuple[Cipher, float]], model: PairModel, lang: str | None) -> list[tuple[float, float, Cipher, str]]:
+def _readings(frame: str, ciphers: list[tuple[Cipher, float]], model: PairModel, lang: str | None, odd: set[str] = frozenset()) -> list[tuple[float, float, Cipher, str]]:
     """(score, log weight, cipher, reading) of a stretch under the ciphers that change it."""
     score, seen, out, signs = model.scorer(lang), {}, [], only_signs(frame)
     for cipher, weight in ciphers:
         if cipher.name == FREE and not cipher.table:
-            read, weight = _free_reading(frame, model, lang), weight * (len(frame) - 2)
+            read = _free_reading(frame, model, lang, odd)
         else:
             read = cipher.apply(frame)
         if read == frame or (signs and cipher.sub is None) or not model.knows(read):
@@ -218,22 +224,44 @@ def _readings(frame: str, ciphers: list[tuple[Cipher, float]], model: PairModel,
     return out
 
 
-def suspects(frames: DataFrame, model: PairModel, margin: float = 3.0) -> DataFrame:
-    """The stretches that some cipher reads not much worse than they stand; the others can't have gone through one."""
+def odd_symbols(frames: DataFrame, *, peculiar: float = 20.0, enough: float = 5.0) -> dict[str, set[str]]:
+    """The characters that are peculiar to a source: ``peculiar`` times as frequent in its stretches as in all others.
+
+    Sources times alphabets are counted. A corpus of one source has none.
+    """
+    inner = F.expr("substring(frame, 2, length(frame) - 2)")
+    seen: dict[str, dict[str, float]] = {}
+    rows = frames.select("source", "n", F.explode(F.array_distinct(F.concat(F.array(F.lit("")), F.split(inner, "")))).alias("c"))
+    for r in rows.groupBy("c", "source").agg(F.sum("n").alias("n")).collect():
+        seen.setdefault(r.c, {})[r.source] = r.n
+    size = seen.get("", {})
+    every = sum(size.values())
+    out: dict[str, set[str]] = {}
+    for c, by_source in seen.items():
+        total = sum(by_source.values())
+        for s, n in by_source.items():
+            if c and n >= enough and every > size[s] and n / size[s] > peculiar * (total - n) / (every - size[s]):
+                out.setdefault(s, set()).add(c)
+    return out
+
+
+def suspects(frames: DataFrame, model: PairModel, odd: dict[str, set[str]], margin: float = 3.0) -> DataFrame:
+    """The stretches with an odd symbol, and those that some cipher reads not much worse than they stand; the others can't have gone through one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         every = [(c, 0.0) for c in start_ciphers().values()]
         verdict: dict[tuple, bool] = {}
         for b in batches:
             keep = []
-            for key in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+            for source, *key in zip(*(b.column(i).to_pylist() for i in range(3))):
+                key = tuple(key)
                 if key not in verdict:
                     if len(verdict) > 300_000:
                         verdict.clear()
                     lang, f = key
                     plain = model.scorer(lang)(f)
                     verdict[key] = any(v > plain - margin for v, _, _, _ in _readings(f, every, model, lang))
-                keep.append(verdict[key])
+                keep.append(verdict[key] or (source in odd and not odd[source].isdisjoint(key[1])))
             yield b.filter(pa.array(keep, pa.bool_()))
 
     return frames.select("source", "lang", "frame", "n").mapInArrow(run, "source string, lang string, frame string, n bigint")
@@ -243,8 +271,7 @@ def expectations(frames: DataFrame, model: PairModel, tables: Tables) -> DataFra
     """(kind, owner, cipher, symbol, letter, x): the sums of the shares of all stretches.
 
     ``total`` rows have the weight of a source's stretches that read better under
-    some cipher, ``symbol`` rows in how many stretches of a source a character stands
-    (with an empty symbol: all of them), ``weight`` rows a cipher's share of them, ``letter`` rows the share
+    some cipher, ``weight`` rows a cipher's share of them, ``letter`` rows the share
     of a letter for a symbol, ``pair`` rows what the pair counts of a language change
     by when the stretches that read as garbled are taken as they read.
     """
@@ -257,11 +284,8 @@ def expectations(frames: DataFrame, model: PairModel, tables: Tables) -> DataFra
 
         for b in batches:
             for source, lang, f, n in zip(*(c.to_pylist() for c in b.columns)):
-                for c in set(f[1:-1]):
-                    add(("symbol", source, FREE, c, ""), n)
-                add(("symbol", source, FREE, "", ""), n)
-                plain = model.scorer(lang)(f)
-                scored = _readings(f, tables.of(source), model, lang)
+                plain = model.scorer(lang)(tables.as_it_stands(source, f))
+                scored = _readings(f, tables.of(source), model, lang, tables.odd.get(source, frozenset()))
                 if not scored:
                     continue
                 if max(v for v, _, _, _ in scored) > plain + 3:
@@ -300,14 +324,14 @@ def _summed(total: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*cols, pa.array(list(total.values()), pa.float64())], names=["kind", "owner", "cipher", "symbol", "letter", "x"])
 
 
-def _free_reading(frame: str, model: PairModel, lang: str | None) -> str:
-    """The likeliest letters between ASCII neighbours, where the symbol itself is hardly ever met there."""
-    if len(frame) != 3 or not (frame[0] + frame[2]).isascii():
-        return frame
-    log, floor = model.table(lang), model.floor
-    here = log.get(frame[:2], floor) + log.get(frame[1:], floor)
-    best, letter = max(((log.get(frame[0] + c, floor) + log.get(c + frame[2], floor), c) for c in model.between(lang, frame[0], frame[2])), default=(-math.inf, frame[1]))
-    return frame[0] + letter + frame[2] if best > here + 4 else frame
+def _free_reading(frame: str, model: PairModel, lang: str | None, odd: set[str]) -> str:
+    """The stretch with the likeliest letter for each odd symbol that stands between others."""
+    log, floor, out = model.table(lang), model.floor, list(frame)
+    for i in range(1, len(frame) - 1):
+        a, b = frame[i - 1], frame[i + 1]
+        if frame[i] in odd and a not in odd and b not in odd:
+            out[i] = max(model.between(lang, a, b), key=lambda c: log.get(a + c, floor) + log.get(c + b, floor), default=frame[i])  # noqa: B023
+    return "".join(out)
 
 
 def frames_of(df: DataFrame, *, source: str, lang: str | None, columns: list[str]) -> DataFrame:
@@ -341,27 +365,13 @@ def _marked(c: Column) -> Column:
     return c.rlike(r"[^\x00-\x7f]|&#\d")
 
 
-def maximize(rows: list, tables: Tables, *, prior: float = 3.0, enough: float = 5.0, peculiar: float = 20.0) -> None:
+def maximize(rows: list, tables: Tables, *, prior: float = 3.0, enough: float = 5.0) -> None:
     """The M-step: weights, and for each symbol the letter with the most weight; the starting letter has ``prior`` on top.
 
     Where there is no letter to start from, contexts must agree on one, no two symbols
-    may stand for the same letter, and the symbol must be peculiar to its source:
-    ``peculiar`` times as frequent there as in all others. A corpus of one source has
-    no free cipher.
+    may stand for the same letter, and the symbol must be odd (see :func:`odd_symbols`).
     """
-    seen: dict[str, dict[str, float]] = {}
-    for r in rows:
-        if r.kind == "symbol":
-            seen.setdefault(r.symbol, {})[r.owner] = r.x
-    stretches_of = seen.get("", {})
-    every_stretch = sum(stretches_of.values())
-
-    def own_symbol(owner: str, symbol: str) -> bool:
-        rest = every_stretch - stretches_of[owner]
-        here = seen[symbol].get(owner, 0.0)
-        return rest > 0 and here / stretches_of[owner] > peculiar * (sum(seen[symbol].values()) - here) / rest
-
-    totals = {r.owner: r.x for r in rows if r.kind == "total"}
+    totals = dict.fromkeys(tables.odd, 0.0) | {r.owner: r.x for r in rows if r.kind == "total"}
     weights: dict[str, dict[str, float]] = {s: {} for s in totals}
     shares: dict[tuple, dict[str, float]] = {}
     for r in rows:
@@ -371,16 +381,24 @@ def maximize(rows: list, tables: Tables, *, prior: float = 3.0, enough: float =
             shares.setdefault((r.owner, r.cipher, r.symbol), {})[r.letter] = r.x
     letters: dict[tuple[str, str], dict[str, str]] = {}
     for (owner, cipher, symbol), every in sorted(shares.items(), key=lambda x: -max(x[1].values())):
-        letter = max(every, key=every.get)
-        if cipher == FREE and (not own_symbol(owner, symbol) or letter in letters.get((owner, FREE), {}).values()):
+        taken: set[str] = set()
+        if cipher == FREE:  # one symbol for each letter, the surest first
+            if symbol not in tables.odd.get(owner, ()):
+                continue
+            taken = set(letters.get((owner, FREE), {}).values())
+        left = {c: x for c, x in every.items() if c not in taken}
+        if not left:
             continue
+        letter = max(left, key=left.get)
         at_first = tables.start[cipher].table.get(symbol)
-        sure = every[letter] > 0.5 * sum(every.values()) if at_first is None else every[letter] > 2 * (every.get(at_first, 0.0) + prior)
-        if letter not in (symbol, at_first) and every[letter] >= enough and sure:
+        sure = left[letter] > 0.5 * sum(left.values()) if at_first is None else left[letter] > 2 * (left.get(at_first, 0.0) + prior)
+        if letter not in (symbol, at_first) and left[letter] >= (enough if at_first is not None else 1.0) and sure:
             letters.setdefault((owner, cipher), {})[symbol] = letter
-    for owner, known in weights.items():
-        if FREE in known and (owner, FREE) not in letters:
-            del known[FREE]
+    for owner in totals:
+        if owner in tables.odd:
+            weights[owner][FREE] = max(weights[owner].get(FREE, START), START)
+        else:
+            weights[owner].pop(FREE, None)
     tables.weights, tables.letters, tables._made = weights, letters, {}
     tables.fitted = True
 
@@ -391,13 +409,16 @@ def learn(df: DataFrame, *, source: str = "source", lang: str | None = "lang", c
     lang = lang if lang in df.columns else None
     counts = pair_counts(df, columns, lang=lang)
     model = PairModel.of(counts)
-    frames = cut_lineage(suspects(frames_of(df, source=source, lang=lang, columns=columns), model))
+    every = cut_lineage(frames_of(df, source=source, lang=lang, columns=columns))
+    odd = odd_symbols(every)
+    frames = cut_lineage(suspects(every, model, odd))
     # few bytes, much work: spread by the number of stretches, not by their size
     frames = frames.repartition(max(df.sparkSession.sparkContext.defaultParallelism, frames.count() // 20_000))
     blocks = max(1, -(-frames.select("source").distinct().count() // block_sources))
     out = []
     for n in range(blocks):
         mine, tables, own = frames.filter(_in_block("source", blocks, n)), Tables(start_ciphers()), model
+        tables.odd = odd
         for at in range(rounds):
             rows = expectations(mine, own, tables).collect()  # the block's sources times ciphers and alphabets, languages times pairs
             maximize(rows, tables)
@@ -447,7 +468,7 @@ class Reader:
                 self.cache.clear()
             several, single = self.ciphers(source)
             score_of = self.model.scorer(lang)
-            plain = score_of(frame)
+            plain = score_of(self.tables.as_it_stands(source, frame))
             score, text, _ = best_reading(frame, several, score_of, self.model.knows)
             marked = "\ufffd" in frame or C1.search(frame) is not None
             swapped = [] if only_signs(frame) else [(score_of(t) + w, k) for k, (c, w) in enumerate(single) if (t := c.apply(frame)) != frame]
@@ -462,15 +483,16 @@ class Reader:
         """Readings of the stretches under the one single-byte cipher that suits the whole value, by place."""
         single = self.ciphers(source)[1]
         score = self.model.scorer(lang)
+        stands = lambda i: score(self.tables.as_it_stands(source, frames[i]))
         best, out = self.margin, {}
         for k in better:
             cipher, weight = single[k]
             read = {i: t for i, f in enumerate(frames) if (t := cipher.apply(f)) != f}
-            gain = weight + sum(score(t) - score(frames[i]) for i, t in read.items())
+            gain = weight + sum(score(t) - stands(i) for i, t in read.items())
             if gain > best:
                 best, out = gain, read
             elif not out:  # only a part of the value went through the cipher
-                out = {i: t for i, t in read.items() if sum(a != b for a, b in zip(t, frames[i])) >= self.sure and score(t) + weight > score(frames[i]) + self.margin}
+                out = {i: t for i, t in read.items() if sum(a != b for a, b in zip(t, frames[i])) >= self.sure and score(t) + weight > stands(i) + self.margin}
         return out
 
     def read(self, source: str, lang: str | None, text: str) -> tuple[bool, str, bool]:

@@ -83,7 +83,7 @@ def rarity(sets: DataFrame) -> np.ndarray:
     return table
 
 
-def anchor_rows(sets: DataFrame, counts: np.ndarray, *, share_num: int = 7, share_den: int = 10, rare: int = 200, long: int = 64) -> DataFrame:
+def anchor_rows(sets: DataFrame, counts: np.ndarray, *, share_num: int = 7, share_den: int = 10, rare: int = 200, long: int = 128) -> DataFrame:
     """(anchor, set_id, size, f1, f2): each fingerprint at each of its anchors."""
 
     def mix(x: np.ndarray) -> np.ndarray:
@@ -154,7 +154,7 @@ def similar_sets(sets: DataFrame, *, share_num: int = 7, share_den: int = 10, ra
 
 def similar_records(df: DataFrame, *, key: str = "element_id", share_num: int = 7, share_den: int = 10, **options) -> tuple[DataFrame, DataFrame]:
     """The members (key, set_id) and the links (set_a, set_b) between classes of equal sets."""
-    rows = cut_lineage(word_sets(df, key=key, **options))
+    rows = word_sets(df, key=key, **options)  # made twice, which costs less than to keep all texts of copies
     members = cut_lineage(rows.select(F.col("key").alias(key), "set_id").dropDuplicates([key]))  # one of the sets, should rows of a key differ
     links = similar_sets(cut_lineage(rows.select("set_id", "words").dropDuplicates(["set_id"])), share_num=share_num, share_den=share_den)
     classes = members.select("set_id").distinct()
@@ -164,7 +164,8 @@ def similar_records(df: DataFrame, *, key: str = "element_id", share_num: int =
 
 
 def record_pairs(members: DataFrame, links: DataFrame, *, key: str = "element_id") -> DataFrame:
-    """(key_a, key_b), a < b: every pair of records, copies included."""
+    """(key_a, key_b), a < b: every pair of records, copies included; a record without a key makes no pair."""
+    members = members.filter(F.col(key).isNotNull())
     a = members.select(F.col("set_id").alias("set_a"), F.col(key).alias("x"))
     b = members.select(F.col("set_id").alias("set_b"), F.col(key).alias("y"))
     across = links.join(a, "set_a").join(b, "set_b").select(F.least("x", "y").alias(f"{key}_a"), F.greatest("x", "y").alias(f"{key}_b"))
