@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folioframe.functions import text as T
-from folioframe.operators import assemble, chunking, extract, metrics, structure, validate
+from folioframe.operators import assemble, chunking, extract, metrics, prompts, structure, validate
 from folioframe.plans import sql_parts as P
 from folioframe.session import table
 from folioframe.sources import sinks
@@ -263,6 +263,11 @@ def structure_map_files(spark, d):
     return rows.select("doc_id", v.alias("v")).select("doc_id", "v.total_chunks", F.aggregate("v.chunks_info", F.lit(0).cast("bigint"), lambda n, x: n + x["elements_count"]).alias("elements"), F.array_join(F.transform("v.chunks_info", lambda x: x["chunk_type"]), ";").alias("kinds"))
 
 
+def extraction_prompts(spark, d):
+    """The schema asked for and the length of the user message of each chunk."""
+    return prompts.extraction_prompts(_chunks(spark, d)).select("doc_id", "chunk_index", "schema", F.length(F.col("messages")[1]["content"]).cast("bigint").alias("chars"))
+
+
 def debug_files(spark, d):
     return sinks.debug_dump(_chunks(spark, d)).select("doc_id", "filename", F.md5("text").alias("digest"))
 
@@ -296,7 +301,7 @@ _NAMES = (
     chunk_details, structure_offsets, ordered_reassembly, structure_map, element_positions, next_element_hint, chunk_footer, simple_analysis, fallback_analysis, fragment_flags,
     completion_flags, context_buffer, carried_codes, structure_range_join, preceding_element_asof, split_stats, split_summary, validate_stats, conversion_stats, md_blank_collapse,
     strip_tags_text, table_label_carry, variable_rows, extracted_elements, section_fold, assembly_warnings, survey_json, token_estimate, prompt_render, preview_topn,
-    structure_map_files, debug_files, running_offsets, json_errors, combine_sections, schema_validation,
+    structure_map_files, debug_files, extraction_prompts, running_offsets, json_errors, combine_sections, schema_validation,
 )
 QUERIES = {f.__name__: f for f in _NAMES}
 
