@@ -34,8 +34,17 @@ from folioframe.llm.chargrams import PairModel, pair_counts
 from folioframe.llm.mojibake import Reader, Tables, _in_block
 
 # Letters that look like Latin ones, pair by pair.
-CYRILLIC = "аaсcԁdеeһhіiјjӏlоoрpԛqѕsԝwхxуyѵvАAВBСCЕEНHІIЈJКKМMОOРPЅSТTХXУYԌGԜWкkтtмmвb"
-GREEK = "αaοoνvιiκkρpυuγyηnτtχxωwεeΑAΒBΕEΖZΗHΙIΚKΜMΝNΟOΡPΤTΥYΧXϲcϳj"
+CYRILLIC = {
+    "а": "a", "с": "c", "ԁ": "d", "е": "e", "һ": "h", "і": "i", "ј": "j", "ӏ": "l", "о": "o", "р": "p", "ԛ": "q", "ѕ": "s",
+    "ԝ": "w", "х": "x", "у": "y", "ѵ": "v", "А": "A", "В": "B", "С": "C", "Е": "E", "Н": "H", "І": "I", "Ј": "J", "К": "K",
+    "М": "M", "О": "O", "Р": "P", "Ѕ": "S", "Т": "T", "Х": "X", "У": "Y", "Ԍ": "G", "Ԝ": "W", "к": "k", "т": "t", "м": "m",
+    "в": "b",
+}
+GREEK = {
+    "α": "a", "ο": "o", "ν": "v", "ι": "i", "κ": "k", "ρ": "p", "υ": "u", "γ": "y", "η": "n", "τ": "t", "χ": "x", "ω": "w",
+    "ε": "e", "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P",
+    "Τ": "T", "Υ": "Y", "Χ": "X", "ϲ": "c", "ϳ": "j",
+}
 # Characters that can't be seen, spaces and hyphens other than the ordinary ones.
 IGNORABLE = "­͏؜ᅟᅠ឴឵᠋-᠎​-‏‪-‮⁠-⁤⁦-⁯︀-️﻿"
 SPACES = "   -   　"
@@ -55,7 +64,7 @@ _EMOJI_JOINED = re.compile("(?<=[\U0001f000-\U0001faff☀-➿️])[‍️]|[️
 def _look_alikes() -> dict[str, tuple[str, ...]]:
     groups: dict[str, set[str]] = {}
     for table in (CYRILLIC, GREEK):
-        for other, latin in zip(table[::2], table[1::2]):
+        for other, latin in table.items():
             groups.setdefault(latin, {latin}).add(other)
     out: dict[str, set[str]] = {}
     for group in groups.values():

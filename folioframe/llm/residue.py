@@ -257,8 +257,10 @@ def find_residue(df: DataFrame, *, key: str = "doc_id", text: str = "text", path
     rest = F.regexp_replace(F.col("t"), r"\s+", " ")
     suspects = weak.join(common, "h").withColumn("body", _long_words(F.replace(rest, F.col("b"), F.lit(" ")))).withColumn("words", _long_words(F.col("b")))
     alone = suspects.filter(~F.arrays_overlap("body", "words"))
-    leads = docs.select("slug", F.slice(_long_words(t), 1, 8).alias("lead"))
-    terms = slug_terms(leads.filter("slug is not null"))
+    # documents with such a response don't say what their slug is about
+    own = weak.join(common, "h").select(F.col("k").alias("held")).distinct()
+    leads = docs.filter("slug is not null").join(own, F.col("k").eqNullSafe(F.col("held")), "left_anti").select("slug", F.slice(_long_words(t), 1, 8).alias("lead"))
+    terms = slug_terms(leads)
     mismatched = alone.join(terms, "slug", "left").filter(~F.arrays_overlap("words", F.coalesce("terms", F.array().cast("array<string>"))))
     mismatched = mismatched.select("k", *[F.lit(False).alias(c) for c in ("field", "filler", "notice")], F.lit(True).alias("mismatch"))
     out = flagged.unionByName(mismatched).groupBy("k").agg(*[F.max(c).alias(c) for c in ("field", "filler", "notice", "mismatch")])

@@ -89,3 +89,20 @@ TALKED = [
 
 def test_blocks_of_any_length_and_mark(spark):
     assert found(spark, BLOCKS + TALKED) == set(range(len(BLOCKS)))
+
+
+def test_a_response_from_several_hosts_under_several_slugs(spark):
+    body = "The quality of the delivery was discussed with the buyers of the region in detail."
+    odd = "Session closed by the login service"
+    rows = [(k, f"# Report {k}\n\n{body}\n\n{odd if k < 4 else 'End of the report'}", f"host{k % 2}", f"/host/{'memo' if k % 3 else 'topline'}/{k}.md") for k in range(12)]
+    rows += [(20, f"# Login service\n\nThe login service was judged.\n\n{odd}", "host1", "/host/memo/20.md"), (21, None, None, None), (22, " ", None, None), (23, odd, None, None)]
+    df = spark.createDataFrame(rows, "doc_id int, text string, source string, path string")
+    got = {r.doc_id: r.mismatch for r in residue.find_residue(df).collect()}
+    assert {k for k in got if k < 12} == {0, 1, 2, 3} and all(got.values()) and 20 not in got
+
+
+def test_empty_table_and_copies(spark):
+    assert found(spark, []) == set()
+    df = spark.createDataFrame([(1, "Hello {{name}}", "h", "/a/b/1.md")] * 3, "doc_id int, text string, source string, path string")
+    rows = residue.find_residue(df).collect()
+    assert len(rows) == 1 and rows[0].field and residue.without_residue(df, residue.find_residue(df)).count() == 0
