@@ -90,7 +90,9 @@ def aware_chunks(spark, d):
 
 
 def token_chunks(spark, d):
-    return chunking.by_spans(_docs(spark, d), "token", key="doc_id", text="text", size=256, overlap=32)
+    """The words of each token chunk."""
+    rows = chunking.by_spans(_docs(spark, d), "token", key="doc_id", text="text", size=256, overlap=32)
+    return rows.select("doc_id", "chunk_index", F.md5(F.array_join(T.words(F.col("chunk")), " ")).alias("digest"))
 
 
 def chunk_strategy(spark, d):
@@ -415,7 +417,11 @@ def _packed(parity: bool) -> str:
       select doc_id, row_number() over (partition by doc_id order by i) - 1 as chunk_index, chunk from (select doc_id, i, {P.strip('chunk')} as chunk from found) where chunk <> ''"""
 
 
+_DETAIL_KIND = r"case when regexp_matches(chunk, '(?m)(?i)^#+\s+Section\s+\d+') then 'SECTION_START' when regexp_matches(chunk, '(?m)^\*\*[^*\n]+\*\*\s*:') then 'ELEMENT_START' when starts_with({strip}, '|') then 'TABLE_DATA' when regexp_matches(chunk, '(?m)^\*\s*\*\*[^*]+\*\*') then 'PROGRAMMING_NOTES' when starts_with({strip}, '[') and contains(chunk, 'CONTINUATION') then 'CONTINUATION' else 'MIXED_CONTENT' end".replace("{strip}", P.strip("chunk"))
+
 SQL = {
+    "debug_files": _C + f"""select doc_id, format('chunk_{{:03d}}.md', chunk_index) as filename, md5(concat('<!-- chunk: ', chunk_index, ' -->', chr(10), '<!-- type: ', {_DETAIL_KIND}, ' -->', chr(10), '<!-- characters: ', length(chunk), ' -->', chr(10), '<!-- lines: ', len(string_split(chunk, chr(10))), ' -->', chr(10),
+      '<!-- markers: ', array_to_string({_found('chunk')}, ', '), ' -->', chr(10), chr(10), chunk)) as digest from chunks""",
     "delimiter_chunks": f"select * from {P.CHUNKS}",
     "delimiter_chunks_headerless": f"select * from {P.unnested(_HEADERLESS)}",
     "header_chunks": "select * from " + P.unnested(P.kept(r"string_split(regexp_replace(text, '(?m)^(# .)', chr(31) || '\1', 'g'), chr(31))"), source=f"(select * from documents where {P.count('text', '(?m)^# .+$')} >= 2)"),
@@ -508,6 +514,9 @@ SQL = {
     "prompt_render": f"select doc_id, md5('Kind: ' || coalesce({P.strip('doc_kind')}, '') || chr(10) || coalesce({P.strip('text')}, '') || chr(10) || 'End.') as digest from documents",
     "preview_topn": _C + "select doc_id, chunk_index, substring(chunk, 1, 60) as preview from chunks where chunk_index < 3",
     "running_offsets": f"select * from {_SPANS}",
+    "token_chunks": f"""with t as (select doc_id, text, {P.WORDS} as ws from documents where length(text) > 0),
+      k as (select doc_id, ws, unnest(range(0, greatest(len(ws) - 32, 1), 224)) as a from t where len(ws) > 0)
+      select doc_id, row_number() over (partition by doc_id order by a) - 1 as chunk_index, md5(array_to_string(ws[a + 1:a + 256], ' ')) as digest from k""",
     "json_errors": "select checkpoint_id, json_valid(payload) as valid from section_checkpoints where payload is not null",
     "combine_sections": """select n_nationkey, cast(o as bigint) as ord, case when o = 0 then n_name else cast(n_nationkey as varchar) end as code from nation, (values (0), (1)) v(o) where n_nationkey % 5 > 1""",
     "schema_validation": "select event_id, '$.k' as path from events where cast(json_extract(props, '$.k') as bigint) not between 0 and 49",

@@ -34,3 +34,7 @@ def matches(source: str, keys: str, text: str, pattern: str, groups: int) -> str
     rows = ", ".join([f"nullif(gs{g}[k], '') as g{g}" for g in range(1, groups + 1)])
     start = "coalesce(list_sum(list_transform(ps[1:k], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(ms[1:k-1], lambda x: length(x))), 0)"
     return f"(select {keys}, cast(k - 1 as bigint) as ord, cast({start} as bigint) as start, cast({start} + length(ms[k]) as bigint) as stop, ms[k] as m{', ' + rows if rows else ''} from (select *, unnest(range(1, len(ms) + 1)) as k from (select {keys}, {got} from {source})))"
+
+
+SPACES = f"{WHITE}+"
+WORDS = f"list_filter(string_split_regex(text, '{SPACES}'), lambda x: x <> '')"

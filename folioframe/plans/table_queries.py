@@ -343,7 +343,7 @@ SQL = {
     "checkpoint_every_n": "select user_id, event_id from (select *, row_number() over (partition by user_id order by ts, event_id) as rn from events) where rn % 5 = 0",
     "latest_report": "select user_id, arg_max(event_id, {'ts': ts, 'e': event_id}) as event_id, count(*) as events from events group by user_id",
     "completion": "select source, count(*) as elements, round(count(case when c then 1 end) * 100 / count(*), 4) as percent from (select element_id, any_value(source) as source, any_value(is_complete) as c from partial_elements group by element_id) group by source",
-    "safe_filenames": "select p_partkey, format('{:03d}_{}__{:03d}_{}.html', p_size, coalesce(nullif(regexp_replace(p_name, '[^\\p{L}\\p{N}_\\-.]', '_', 'g'), ''), 'section'), p_size, coalesce(nullif(regexp_replace(p_type, '[^\\p{L}\\p{N}_\\-.]', '_', 'g'), ''), 'chunk')) as filename, 'chunk_' || lpad(cast(p_size + 1 as varchar), 4, '0') || '.md' as chunk_name from part",
+    "safe_filenames": "select p_partkey, format('{:03d}_{}__{:03d}_{}.html', p_size, coalesce(nullif(regexp_replace(p_name, '[^\\p{L}\\p{N}_\\-.]', '_', 'g'), ''), 'section'), p_size, coalesce(nullif(regexp_replace(p_type, '[^\\p{L}\\p{N}_\\-.]', '_', 'g'), ''), 'chunk')) as filename, format('chunk_{:04d}.md', p_size) as chunk_name from part",
     "prefix_strip": "select p_partkey, case when p_partkey % 20000 < 10000 then cast(p_size as varchar) else 'Q' || (p_partkey % 20000) || '_' || p_size end as code from part",
     "page_sections": f"select page_id, section_no, s_name as section_title from {_SUPP}",
     "page_questions": f"select page_id, section_no, 0 as question_no, 'Q' || s_suppkey as code, 'YES_NO' as type, 'name & place' as label from {_SUPP} union all select page_id, section_no, 1, 'R' || s_suppkey, 'CHOICE', 'other' || chr(10) || 'VARIABLES TABLE' || chr(10) || 'Q3_1' || chr(10) || 'Q3_1' || chr(10) || s_name from {_SUPP}".replace("section_no, 0 as question_no", "section_no, cast(0 as bigint) as question_no"),

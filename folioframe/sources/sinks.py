@@ -9,7 +9,8 @@ from folioframe.functions.text import safe_label
 
 
 def chunk_names(index: Column, width: int = 3) -> Column:
-    return F.concat(F.lit("chunk_"), F.lpad((index + 1).cast("string"), width, "0"), F.lit(".md"))
+    """``chunk_000.md`` and so on, from 0; a longer number keeps all its digits."""
+    return F.format_string(f"chunk_%0{width}d.md", index.cast("bigint"))
 
 
 def write_chunks(chunks: DataFrame, path: str, *, doc: str = "doc_id") -> None:
