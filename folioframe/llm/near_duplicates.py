@@ -176,7 +176,7 @@ def record_pairs(members: DataFrame, links: DataFrame, *, key: str = "element_id
 
 
 def groups(members: DataFrame, links: DataFrame, *, key: str = "element_id") -> DataFrame:
-    """(key, group_id, links): each record's group (connected component) and the number of other classes it is linked to.
+    """(key, group_id, links): each record's group (connected component, named by its smallest key) and the number of other classes it is linked to.
 
     Smallest labels travel along the links and along the labels found so far, so
     that long chains take few rounds; every round is cut. Ends when no label moves.
@@ -194,4 +194,6 @@ def groups(members: DataFrame, links: DataFrame, *, key: str = "element_id") ->
             break
     degree = edges.groupBy("set_a").agg(F.count("*").alias("links"))
     of = label.join(degree, "set_a").withColumnRenamed("set_a", "set_id")
-    return members.join(of, "set_id", "left").select(key, F.coalesce("l", "set_id").alias("group_id"), F.coalesce("links", F.lit(0)).alias("links"))
+    placed = members.join(of, "set_id", "left").select(key, F.coalesce("l", "set_id").alias("label"), F.coalesce("links", F.lit(0)).cast("bigint").alias("links"))
+    names = placed.groupBy(F.col("label").alias("of_label")).agg(F.min(key).alias("group_id"))
+    return placed.join(names, F.col("label") == F.col("of_label")).select(key, "group_id", "links")

@@ -152,6 +152,17 @@ met as (select a.element_id as x, b.element_id as y, any_value(a.n) as na, any_v
 select x as element_id_a, y as element_id_b from met where shared * 10 >= (na + nb - shared) * 7
 """
 
+_P2_GROUPS = """
+with recursive one as (select element_id, any_value(label) as label, any_value(variables) as variables from partial_elements group by element_id),
+rec as (select element_id, list_sort(list_distinct(regexp_extract_all(lower(concat_ws(' ', label, array_to_string([v.label for v in variables], ' '))), '[\\p{L}\\p{N}]+'))) as ws
+        from one where len(regexp_extract_all(lower(label), '[\\p{L}\\p{N}]+')) >= 8),
+pairs as ({pairs}),
+edges as (select element_id_a as x, element_id_b as y from pairs union all select element_id_b, element_id_a from pairs),
+reach as (select element_id as x, element_id as y from rec union select r.x, b.y from reach r join edges b on r.y = b.x)
+select r.element_id, min(reach.y) as group_id, (select count(distinct t.ws) from edges b join rec t on t.element_id = b.y where b.x = r.element_id and t.ws <> r.ws) as links
+from rec r join reach on reach.x = r.element_id group by r.element_id, r.ws
+""".replace("{pairs}", _P2)
+
 _P5 = """
 with d as (select max_chars from split_profiles where is_default),
 items as (
@@ -170,4 +181,4 @@ where length(text) > 0 group by 1, 2, 3
 
 _P7 = "select doc_id, md5(coalesce(text, '')) as digest from documents"
 
-SQL = {"p2_found": _P2, "p5_found": _P5, "p5_rebuilt": _P5_TEXTS, "p7_decoded": _P7, "p8_found": _P8, "p8_leaked_items": _P8_ITEMS}
+SQL = {"p2_found": _P2, "p2_groups": _P2_GROUPS, "p5_found": _P5, "p5_rebuilt": _P5_TEXTS, "p7_decoded": _P7, "p8_found": _P8, "p8_leaked_items": _P8_ITEMS}
